@@ -25,7 +25,7 @@ class Mix:
     weights: tuple[float, ...] = (3.0, 1.0, 2.0)
     share: float = 1.5
     passes: float = 2.0
-    block: int = 256
+    block: int = 128
     seed: int = 42
     most_sources: int = 100_000
 
@@ -68,6 +68,11 @@ def running(df: DataFrame, part: list[str], bucket: str, order: list[Column], va
     return df.join(sums, [*part, bucket]).withColumn(name, F.col("_ahead") + F.coalesce(F.sum(value).over(own), F.lit(0))).drop("_ahead")
 
 
+def _slots(mix: Mix) -> Column:
+    """Slots that a source wants: its blocks, of which the last is short, times its target over its size."""
+    return F.ceil(F.col("source_size") / F.lit(float(mix.block))) * F.col("target") / F.col("source_size")
+
+
 def counted(rows: DataFrame, n: str, name: str) -> DataFrame:
     """Each row of ``rows`` ``n`` times, numbered from 0 in ``name``: first in runs, which are dealt out, and then one by one."""
     runs = rows.where(F.col(n) > 0).withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / GROUP)))).repartition("s", "run")
@@ -79,11 +84,11 @@ def schedule(targets: DataFrame, slots: int, mix: Mix) -> DataFrame:
     """Columns ``k`` (position), ``s`` (source) and ``r`` (rank among the source's positions, from 0) for ``slots`` positions.
 
     Position ``k`` has the point ``frac((k + 1) / golden ratio)``, in whole numbers modulo a prime; the source is that whose stretch of the
-    cumulative targets holds the point. In every run of positions each source then has its share to within a few.
+    cumulative slots wanted holds the point. In every run of positions each source then has its share to within a few.
     """
     spark = targets.sparkSession
     so_far = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
-    ends = targets.where("target > 0").withColumn("e", F.sum("target").over(so_far)).select("s", "e").orderBy("s").limit(mix.most_sources + 1).collect()
+    ends = targets.where("target > 0").withColumn("e", F.sum(_slots(mix)).over(so_far)).select("s", "e").orderBy("s").limit(mix.most_sources + 1).collect()
     if len(ends) > mix.most_sources:
         raise ValueError(f"more than {mix.most_sources} sources: raise most_sources or group them")
     width = 1 << max(len(ends) - 1, 0).bit_length()
@@ -112,7 +117,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
     targets = written(source_targets(sizes, mix), "targets")
     block = F.lit(mix.block)
     sources = targets.withColumn("blocks", F.ceil(F.col("source_size") / F.lit(float(mix.block)))).withColumn("buckets", F.ceil(F.col("rows") / F.lit(float(GROUP))))
-    total = targets.agg(F.sum("target").alias("t")).first()["t"] or 0.0
+    total = int((targets.where("target > 0").agg(F.sum(_slots(mix)).alias("t")).first()["t"] or 0.0) + 0.5)
 
     # where each document lies among the words of its source; the buckets follow the order of the hash
     high = F.shiftrightunsigned("h", 33)
@@ -121,7 +126,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
     placed = running(own, ["s"], "bucket", [high, F.col("h"), F.col("id"), F.col("size")], F.col("size"), "start")
 
     # times that each block is taken: the slots whose rank falls on its position
-    ranked = schedule(targets, int(total / mix.block + 0.5), mix).join(F.broadcast(sources.select("s", "blocks")), "s") if total else None
+    ranked = schedule(targets, total, mix).join(F.broadcast(sources.select("s", "blocks")), "s") if total else None
     numbered = counted(sources.select("s", "blocks"), "blocks", "b").withColumn("h", F.xxhash64(F.lit(mix.seed), "s", "b")).withColumn("bucket", F.floor(F.shiftrightunsigned("h", 33) * F.ceil(F.col("blocks") / F.lit(float(GROUP))) / F.lit(float(1 << 31))))
     shuffled = running(numbered, ["s"], "bucket", [F.shiftrightunsigned("h", 33), F.col("h"), F.col("b")], F.lit(1), "pos").select("s", "b", F.col("pos").cast("long"))
     if ranked is None:

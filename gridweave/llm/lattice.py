@@ -22,7 +22,7 @@ class Lattice:
 
     tables: int = 8
     probes: int = 4
-    scale: float = 5.0
+    scale: float = 2.5
     seed: int = 42
 
 

@@ -1 +1,6 @@
+"""Registered queries: grids and points, routes and catalogues."""
 
+from gridweave.plans import grids, sites
+from gridweave.plans.relations import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "grids", "sites"]

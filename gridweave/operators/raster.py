@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gridweave.operators.graph import components
 from gridweave.sources.scratch import written
 
-ALONG_X = Window.partitionBy("y").orderBy("x")
-ALONG_Y = Window.partitionBy("x").orderBy("y")
+
+def along_x() -> WindowSpec:
+    """Cells of a row, in order."""
+    return Window.partitionBy("y").orderBy("x")
+
+
+def along_y() -> WindowSpec:
+    """Cells of a column, in order."""
+    return Window.partitionBy("x").orderBy("y")
 
 
 def dense(cells: DataFrame, width: int, height: int) -> DataFrame:
@@ -38,7 +45,7 @@ def focal_mean(cells: DataFrame, k: int, values: Sequence[str] = ("z",), suffix:
     The square is separable: sums and counts run over a range of columns and then over a range of rows, two windows whatever ``k`` is.
     """
     h = k // 2
-    across, down = ALONG_X.rangeBetween(-h, h), ALONG_Y.rangeBetween(-h, h)
+    across, down = along_x().rangeBetween(-h, h), along_y().rangeBetween(-h, h)
     grid = near_blocks(cells.select("y", "x", *values), h)
     first = grid.select("y", "x", *[F.sum(v).over(across).alias(f"_s_{v}") for v in values], *[F.count(v).over(across).alias(f"_n_{v}") for v in values])
     second = first.select("y", "x", *[(F.sum(f"_s_{v}").over(down) / F.nullif(F.sum(f"_n_{v}").over(down), F.lit(0))).alias(v + suffix) for v in values])
@@ -50,14 +57,14 @@ def focal_mean_padded(cells: DataFrame, k: int, width: int, height: int, values:
     h = k // 2
     grid = dense(cells.select("y", "x", *values), width, height).select("y", "x", *[F.coalesce(v, F.lit(0.0)).alias(v) for v in values])
 
-    def box(value: str, along: Window, at: str, n: int) -> Column:
+    def box(value: str, along: WindowSpec, at: str, n: int) -> Column:
         whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         before = F.greatest(F.lit(0), F.lit(h) - F.col(at))
         after = F.greatest(F.lit(0), F.col(at) + h - (n - 1))
         return (F.sum(value).over(along.rangeBetween(-h, h)) + F.first(value).over(whole) * before + F.last(value).over(whole) * after) / k
 
-    first = grid.select("y", "x", *[box(v, ALONG_X, "x", width).alias(v) for v in values])
-    return cells.join(first.select("y", "x", *[box(v, ALONG_Y, "y", height).alias(v + suffix) for v in values]), ["y", "x"])
+    first = grid.select("y", "x", *[box(v, along_x(), "x", width).alias(v) for v in values])
+    return cells.join(first.select("y", "x", *[box(v, along_y(), "y", height).alias(v + suffix) for v in values]), ["y", "x"])
 
 
 def rugosity(cells: DataFrame, k: int = 3, z: str = "z") -> DataFrame:
@@ -75,13 +82,13 @@ def position_index(cells: DataFrame, k: int, z: str = "z") -> DataFrame:
 def slope(cells: DataFrame, width: int, height: int, z: str = "z", cell_size: float = 1.0) -> DataFrame:
     """``cells`` with ``slope`` in degrees: central differences inside, one-sided at the raster's edges, null beside nodata."""
 
-    def gradient(along: Window, at: str, n: int) -> Column:
+    def gradient(along: WindowSpec, at: str, n: int) -> Column:
         here = F.col(at)
         low = F.when(F.lag(at).over(along) == here - 1, F.lag(z).over(along))
         high = F.when(F.lead(at).over(along) == here + 1, F.lead(z).over(along))
         return F.when(here == 0, high - F.col(z)).when(here == n - 1, F.col(z) - low).otherwise((high - low) / 2)
 
-    steep = F.sqrt(F.pow(gradient(ALONG_X, "x", width), 2) + F.pow(gradient(ALONG_Y, "y", height), 2)) / cell_size
+    steep = F.sqrt(F.pow(gradient(along_x(), "x", width), 2) + F.pow(gradient(along_y(), "y", height), 2)) / cell_size
     return cells.withColumn("slope", F.degrees(F.atan(steep)))
 
 
@@ -91,16 +98,16 @@ def erode(cells: DataFrame, n: int) -> DataFrame:
     A cell's free run to both sides is found along its row; the steps up and down then look at the runs of its column. Two windows
     whatever ``n`` is.
     """
-    before, after = ALONG_X.rowsBetween(Window.unboundedPreceding, 0), ALONG_X.rowsBetween(0, Window.unboundedFollowing)
-    starts = F.when(F.coalesce(F.lag("x").over(ALONG_X) != F.col("x") - 1, F.lit(True)), F.col("x"))
-    ends = F.when(F.coalesce(F.lead("x").over(ALONG_X) != F.col("x") + 1, F.lit(True)), F.col("x"))
+    before, after = along_x().rowsBetween(Window.unboundedPreceding, 0), along_x().rowsBetween(0, Window.unboundedFollowing)
+    starts = F.when(F.coalesce(F.lag("x").over(along_x()) != F.col("x") - 1, F.lit(True)), F.col("x"))
+    ends = F.when(F.coalesce(F.lead("x").over(along_x()) != F.col("x") + 1, F.lit(True)), F.col("x"))
     runs = cells.withColumn("_a", starts).withColumn("_b", ends)
     free = runs.withColumn("_free", F.least(F.col("x") - F.max("_a").over(before), F.min("_b").over(after) - F.col("x"))).drop("_a", "_b")
     ok = F.col("_free") >= n
     for step in range(1, n + 1):
         for look in (F.lag, F.lead):
-            beside = look("y", step).over(ALONG_Y) == F.col("y") + (step if look is F.lead else -step)
-            ok = ok & F.coalesce(beside & (look("_free", step).over(ALONG_Y) >= n - step), F.lit(False))
+            beside = look("y", step).over(along_y()) == F.col("y") + (step if look is F.lead else -step)
+            ok = ok & F.coalesce(beside & (look("_free", step).over(along_y()) >= n - step), F.lit(False))
     return free.withColumn("_ok", ok).where("_ok").drop("_ok", "_free")
 
 
@@ -111,8 +118,8 @@ def label_components(cells: DataFrame, width: int) -> DataFrame:
     block by block of columns.
     """
     size = 256
-    start = F.when(F.coalesce(F.lag("x").over(ALONG_X) != F.col("x") - 1, F.lit(True)), F.col("x"))
-    tagged = written(cells.select("y", "x").withColumn("_s", start).withColumn("run", F.col("y") * width + F.max("_s").over(ALONG_X.rowsBetween(Window.unboundedPreceding, 0))).drop("_s"), "runs")
+    start = F.when(F.coalesce(F.lag("x").over(along_x()) != F.col("x") - 1, F.lit(True)), F.col("x"))
+    tagged = written(cells.select("y", "x").withColumn("_s", start).withColumn("run", F.col("y") * width + F.max("_s").over(along_x().rowsBetween(Window.unboundedPreceding, 0))).drop("_s"), "runs")
     runs = tagged.groupBy("run", "y").agg(F.min("x").alias("a"), F.max("x").alias("b")).withColumn("block", F.explode(F.sequence(F.floor(F.col("a") / size), F.floor(F.col("b") / size))))
     below = runs.select(F.col("run").alias("run2"), (F.col("y") - 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), "block")
     edges = runs.join(below, ["y", "block"]).where("a <= b2 AND a2 <= b").select(F.col("run").alias("a"), F.col("run2").alias("b"))
@@ -127,7 +134,7 @@ def nearest_fill(cells: DataFrame, targets: DataFrame, reach: int, z: str = "z")
     """
     beside = lambda along, at: F.coalesce((F.lag(at).over(along) == F.col(at) - 1) & (F.lead(at).over(along) == F.col(at) + 1), F.lit(False))
     valid = cells.where(F.col(z).isNotNull()).select("y", "x", F.col(z).alias("z"))
-    border = valid.withColumn("_in", beside(ALONG_X, "x") & beside(ALONG_Y, "y")).where(~F.col("_in"))
+    border = valid.withColumn("_in", beside(along_x(), "x") & beside(along_y(), "y")).where(~F.col("_in"))
     disc = [(dy, dx) for dy in range(-reach, reach + 1) for dx in range(-reach, reach + 1) if dy * dy + dx * dx <= reach * reach]
     spread = border.withColumn("o", F.explode(F.array(*[F.struct(F.lit(a).alias("dy"), F.lit(b).alias("dx")) for a, b in disc])))
     offers = spread.select((F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"), "z", (F.col("o.dy") * F.col("o.dy") + F.col("o.dx") * F.col("o.dx")).alias("d2"), F.col("y").alias("sy"), F.col("x").alias("sx"))

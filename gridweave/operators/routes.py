@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from gridweave.functions.geo import bearing, haversine_km
 from gridweave.functions.values import band, heading, valid_depth
 
-ROUTE = Window.partitionBy("route").orderBy("idx")
+
+def along() -> WindowSpec:
+    """Waypoints of a route, in order."""
+    return Window.partitionBy("route").orderBy("idx")
 
 
 def legs(waypoints: DataFrame) -> DataFrame:
     """Legs of routes (``route``, ``idx`` from 0, ``lon``, ``lat``): ``leg`` from 1, ends, ``metres``, ``bearing``, ``before`` and ``after`` (running metres)."""
-    lon0, lat0 = F.lag("lon").over(ROUTE), F.lag("lat").over(ROUTE)
+    lon0, lat0 = F.lag("lon").over(along()), F.lag("lat").over(along())
     ends = waypoints.select("route", "idx", lon0.alias("lon0"), lat0.alias("lat0"), F.col("lon").alias("lon1"), F.col("lat").alias("lat1")).where("lon0 IS NOT NULL")
     measured = ends.withColumn("metres", haversine_km(F.col("lon0"), F.col("lat0"), F.col("lon1"), F.col("lat1")) * 1000).withColumn("bearing", bearing(F.col("lon0"), F.col("lat0"), F.col("lon1"), F.col("lat1")))
-    after = F.sum("metres").over(ROUTE.rowsBetween(Window.unboundedPreceding, 0))
-    return measured.withColumn("leg", F.row_number().over(ROUTE)).withColumn("after", after).withColumn("before", F.col("after") - F.col("metres")).drop("idx")
+    after = F.sum("metres").over(along().rowsBetween(Window.unboundedPreceding, 0))
+    return measured.withColumn("leg", F.row_number().over(along())).withColumn("after", after).withColumn("before", F.col("after") - F.col("metres")).drop("idx")
 
 
 def samples(waypoints: DataFrame, spacing: float = 12.0, most: int = 400) -> DataFrame:
@@ -35,7 +38,7 @@ def samples(waypoints: DataFrame, spacing: float = 12.0, most: int = 400) -> Dat
     between = inner.where(d - F.col("before") < F.col("metres") - 1e-6).select(
         "route", (F.col("lon0") + (F.col("lon1") - F.col("lon0")) * t).alias("lon"), (F.col("lat0") + (F.col("lat1") - F.col("lat0")) * t).alias("lat"), d.alias("d"), "leg", F.lit(0).alias("_end")
     )
-    starts = waypoints.withColumn("_r", F.row_number().over(ROUTE)).where("_r = 1").select("route", "lon", "lat", F.lit(0.0).alias("d"), F.lit(0).alias("leg"), F.lit(0).alias("_end"))
+    starts = waypoints.withColumn("_r", F.row_number().over(along())).where("_r = 1").select("route", "lon", "lat", F.lit(0.0).alias("d"), F.lit(0).alias("leg"), F.lit(0).alias("_end"))
     ends = stepped.where(F.col("total") > 0).select("route", F.col("lon1").alias("lon"), F.col("lat1").alias("lat"), F.col("after").alias("d"), "leg", F.lit(1).alias("_end"))
     order = Window.partitionBy("route").orderBy("leg", "_end", "d")
     return starts.unionByName(between).unionByName(ends).withColumn("n", F.row_number().over(order) - 1).select("route", "n", "lon", "lat", "d")

@@ -147,3 +147,17 @@ def depth_range(low: Column, high: Column) -> Column:
     a, b = F.least(low, high), F.greatest(low, high)
     text = lambda v: F.format_string("%.1f", v)
     return F.when(a.isNull(), "—").when(a == b, text(a)).otherwise(F.concat(text(a), F.lit(" to "), text(b)))
+
+
+def new_id() -> Column:
+    """A random identifier."""
+    return F.uuid()
+
+
+def stable_id(*parts: Column) -> Column:
+    """An identifier from a row's own values, equal whenever it is computed."""
+    return F.substring(F.sha2(F.concat_ws("\x1f", *parts).cast("binary"), 256), 1, 16)
+
+
+def date_stamp() -> Column:
+    return F.date_format(F.current_date(), "yyyy-MM-dd")

@@ -215,3 +215,28 @@ def label_points(contours: DataFrame, depth: str, line: str, most: int = 60, ord
     first = keyed.withColumn("key", key).groupBy("key").agg(F.min(F.struct(order, depth, "_c")).alias("m"))
     label = F.concat(F.lit("−"), F.floor(F.abs(F.col(f"m.{depth}")) + 0.5).cast("string"), F.lit(" m"))
     return first.select(F.col(f"m.{order}").alias(order), "key", label.alias("label")).orderBy(order).limit(most)
+
+
+def import_features(documents: DataFrame, column: str, box: tuple[float, float, float, float], order: str = "n") -> DataFrame:
+    """As ``import_rows``, from GeoJSON texts (one per row) that are a collection or a single feature; anything but points is skipped."""
+    schema = "type string, geometry struct<type:string,coordinates:array<string>>, properties map<string,string>"
+    whole = F.from_json(column, f"type string, features array<struct<{', '.join(p.replace(' ', ':', 1) for p in schema.split(', '))}>>")
+    single = F.from_json(column, schema)
+    features = F.when(whole["type"] == "FeatureCollection", whole["features"]).when(single["type"] == "Feature", F.array(single))
+    rows = documents.select(F.posexplode(features).alias(order, "f"))
+    point = (F.col("f.geometry.type") == "Point") & (F.size("f.geometry.coordinates") >= 2)
+    text = lambda name: F.try_element_at(F.col("f.properties"), F.lit(name))
+    place = lambda i: F.when(point, F.get(F.col("f.geometry.coordinates"), F.lit(i)))
+    flat = rows.select(order, place(1).alias("lat"), place(0).alias("lon"), *[text(c).alias(c) for c in ("name", "depth_min_m", "depth_max_m", "description", "collection")])
+    return import_rows(flat, {c: c for c in ALIASES}, order, box)
+
+
+def apply_edits(sites: DataFrame, upserts: DataFrame, deletes: DataFrame, key: str = "id") -> DataFrame:
+    """Sites with rows added or replaced and others deleted: a new table, as files are not changed in place."""
+    kept = sites.join(upserts.select(key), key, "left_anti").unionByName(upserts, allowMissingColumns=True)
+    return kept.join(deletes.select(key), key, "left_anti")
+
+
+def selected(sites: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+    """Sites that were picked for an export."""
+    return sites.join(ids.select(key), key, "left_semi")

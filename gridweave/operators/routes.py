@@ -124,3 +124,8 @@ def svg(profile: DataFrame, width: int = 640, height: int = 160) -> DataFrame:
     line = F.concat(F.lit('<polyline fill="none" stroke="'), colour, F.lit('" points="'), F.array_join(F.transform("_p", lambda p: p["p"]), " "), F.lit('"/>'))
     body = lines.groupBy("route").agg(F.array_sort(F.collect_list(F.struct("run", line.alias("s")))).alias("_s"))
     return body.select("route", F.concat(F.lit(f'<svg xmlns="http://www.w3.org/2000/svg" viewBox="0 0 {width} {height}">'), F.array_join(F.transform("_s", lambda s: s["s"]), ""), F.lit("</svg>")).alias("svg"))
+
+
+def measure(waypoints: DataFrame) -> DataFrame:
+    """One row per route: its length in metres and the bearing of its last leg."""
+    return legs(waypoints).groupBy("route").agg(F.sum("metres").alias("metres"), F.max_by("bearing", "leg").alias("bearing"))

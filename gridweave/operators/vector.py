@@ -160,3 +160,8 @@ def interpolated(points: DataFrame, targets: DataFrame, group: Column, most: int
     a = points.select(group.alias("_g"), "px", "py", "z").groupBy("_g")
     b = targets.select(group.alias("_g"), "id", "px", "py").groupBy("_g")
     return a.cogroup(b).applyInArrow(run, "id bigint, value double")
+
+
+def line_parts(features: DataFrame, kind: str = "kind") -> DataFrame:
+    """Parts that are lines: a geometry collection left over from clipping may hold points and areas too."""
+    return features.where(F.col(kind).isin("LineString", "MultiLineString"))

@@ -140,3 +140,29 @@ def write_csv(rows: DataFrame, path: str) -> None:
 def write_text(document: DataFrame, path: str) -> None:
     """A one-row document, such as GeoJSON, GPX, SVG or a report."""
     document.coalesce(1).write.mode("overwrite").text(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, on any store that Spark reaches; stages whose output is there can be passed over."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def first_existing(spark: SparkSession, paths: list[str]) -> str | None:
+    """The first of some candidate paths that is there."""
+    return next((p for p in paths if exists(spark, p)), None)
+
+
+def flags(spark: SparkSession, path: str) -> DataFrame:
+    """One row with a JSON file of names and booleans as a map; an absent file is an empty map."""
+    if not exists(spark, path):
+        return spark.range(1).select(F.create_map().cast("map<string,boolean>").alias("flags"))
+    return spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,boolean>").alias("flags"))
+
+
+def editor_points(spark: SparkSession, path: str) -> DataFrame:
+    """Raw points of the editor from a JSON array."""
+    schema = "id string, zone string, origName string, suggestedName string, lat double, lon double, depth string, remarks string, sourceNotes string, clusterId string, flags array<string>"
+    rows = spark.read.schema(schema).option("multiLine", True).json(path)
+    return rows.withColumnsRenamed({"origName": "orig_name", "suggestedName": "suggested", "sourceNotes": "source_notes", "clusterId": "cluster"})

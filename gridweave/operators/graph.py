@@ -1,4 +1,4 @@
-"""Connected components of an edge table."""
+"""Connected components of an edge table, by alternating large and small stars."""
 
 from __future__ import annotations
 
@@ -8,27 +8,35 @@ from pyspark.sql import functions as F
 from gridweave.sources.scratch import written
 
 
-def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """``node`` and ``component``, the smallest node reachable, for every row of ``nodes`` (column ``node``); ``edges`` has ``a`` and ``b``.
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+    """Columns ``node`` and ``component`` (the smallest node reachable) for each node of an edge with two different ends.
 
-    Large and small stars by turns: neighbours hang themselves onto the smallest they know, so rounds grow with the logarithm
-    of the graph's width. Each round is a written table; the driver sees a count and a checksum of it.
+    Each round hangs neighbours onto the smallest one they know, first the larger ones and then the smaller
+    (Kiveris et al., 2014); the number of rounds grows with the logarithm of the number of nodes. The edges of every round are a
+    table in the shared folder; only their count and a checksum come to the driver. Edges with a null end and loops count for
+    nothing, repeated edges count once, no edges give no rows.
     """
-    star = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    check = lambda t: tuple(t.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-    state = check(star)
+    star = written(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+    before = _state(star)
     for _ in range(max_rounds):
-        if not state[0]:
+        if before[0] == 0:
             break
-        both = star.union(star.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        star = written(large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low).distinct(), "edges")
-        after = check(star)
-        if after == state:
+        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        star = written(small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "edges")
+        after = _state(star)
+        if after == before:
             break
-        state = after
+        before = after
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return nodes.select("node").join(star, F.col("node") == F.col("u"), "left").select("node", F.coalesce("v", "node").alias("component"))
+    roots = star.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return star.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def _state(star: DataFrame) -> tuple:
+    """Count and checksums of an edge table."""
+    return tuple(star.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1_000_003)))).first())

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from gridweave.operators.graph import components
+from gridweave.operators.graph import connected_components
 from gridweave.sources.scratch import written
 
 
@@ -123,8 +123,9 @@ def label_components(cells: DataFrame, width: int) -> DataFrame:
     runs = tagged.groupBy("run", "y").agg(F.min("x").alias("a"), F.max("x").alias("b")).withColumn("block", F.explode(F.sequence(F.floor(F.col("a") / size), F.floor(F.col("b") / size))))
     below = runs.select(F.col("run").alias("run2"), (F.col("y") - 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), "block")
     edges = runs.join(below, ["y", "block"]).where("a <= b2 AND a2 <= b").select(F.col("run").alias("a"), F.col("run2").alias("b"))
-    found = components(tagged.select(F.col("run").alias("node")).distinct(), edges).select(F.col("node").alias("run"), F.col("component").alias("label"))
-    return cells.join(tagged.join(found, "run").drop("run"), ["y", "x"])
+    found = connected_components(edges).select(F.col("node").alias("run"), "component")
+    labels = tagged.join(found, "run", "left").select("y", "x", F.coalesce("component", "run").alias("label"))
+    return cells.join(labels, ["y", "x"])
 
 
 def nearest_fill(cells: DataFrame, targets: DataFrame, reach: int, z: str = "z") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gridweave.functions.geo import MERCATOR_M, Grid, tile_bounds, tile_xy
 from gridweave.functions.values import terrarium
+from gridweave.sources.workers import map_arrow
 
 
 def cover(spark: SparkSession, box: tuple[float, float, float, float], low: int, high: int) -> DataFrame:
@@ -80,7 +81,7 @@ def images(rendered_pixels: DataFrame, size: int = 256) -> DataFrame:
                 files.append(png([data[i : i + row] for i in range(0, len(data), row)], size, len(channels)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(files, pa.binary())], names=["zoom", "tx", "ty", "png"])
 
-    return flat.mapInArrow(encode, "zoom int, tx int, ty int, png binary")
+    return map_arrow(flat, encode, "zoom int, tx int, ty int, png binary")
 
 
 def write_tree(tiles: DataFrame, path: str) -> None:

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridweave.sources.workers import group_arrow, map_arrow
+
 Box = tuple[float, float, float, float]
 
 
@@ -24,7 +26,7 @@ def _arrow(df: DataFrame, column: str, change) -> DataFrame:
             columns[at] = pa.array([lines[i].tolist() for i in keep], batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return df.mapInArrow(run, df.schema)
+    return map_arrow(df, run, df.schema)
 
 
 def clip_ring(ring: np.ndarray, box: Box) -> np.ndarray:
@@ -159,7 +161,7 @@ def interpolated(points: DataFrame, targets: DataFrame, group: Column, most: int
 
     a = points.select(group.alias("_g"), "px", "py", "z").groupBy("_g")
     b = targets.select(group.alias("_g"), "id", "px", "py").groupBy("_g")
-    return a.cogroup(b).applyInArrow(run, "id bigint, value double")
+    return group_arrow(a.cogroup(b), run, "id bigint, value double", points.sparkSession)
 
 
 def line_parts(features: DataFrame, kind: str = "kind") -> DataFrame:

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridweave.sources.workers import map_arrow
+
 GEOMETRY = "type string, coordinates array<double>"
 
 
@@ -82,7 +84,7 @@ def geojson_tolerant(spark: SparkSession, path: str, properties: str) -> DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(salvage(content.as_py().decode("utf-8", "replace")), pa.string())], names=["feature"])
 
     feature = f"type string, geometry struct<type:string,coordinates:array<double>>, properties struct<{properties}>"
-    parsed = files.mapInArrow(run, "feature string").select(F.from_json("feature", feature).alias("f")).where("f.type = 'Feature'")
+    parsed = map_arrow(files, run, "feature string").select(F.from_json("feature", feature).alias("f")).where("f.type = 'Feature'")
     return parsed.select(F.col("f.geometry.type").alias("geometry"), F.col("f.geometry.coordinates")[0].alias("lon"), F.col("f.geometry.coordinates")[1].alias("lat"), "f.properties.*")
 
 

@@ -10,6 +10,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from gridweave.sources.workers import map_arrow
+
 #: Bytes of the envelope after a geometry's header, by its kind (fixed values of the format).
 ENVELOPES = (0, 32, 48, 48, 64)
 KINDS = {1: "Point", 2: "LineString", 3: "Polygon", 4: "MultiPoint", 5: "MultiLineString", 6: "MultiPolygon", 7: "GeometryCollection"}
@@ -81,5 +83,5 @@ def layer(spark: SparkSession, path: str, name: str, column: str = "geom") -> Da
                 columns = list(zip(*out)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()))], names=["id", "part", "kind", "_r", "_p"])
 
-    raw = files.mapInArrow(run, "id bigint, part int, kind string, _r string, _p string")
+    raw = map_arrow(files, run, "id bigint, part int, kind string, _r string, _p string")
     return raw.selectExpr("id", "part", "kind", "from_json(_r, 'array<array<array<double>>>') AS rings", "from_json(_p, 'map<string,string>') AS properties")

@@ -10,6 +10,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridweave.sources.workers import group_arrow, map_arrow
 
 #: Bytes of a value by TIFF field type, and how it is unpacked (fixed values of the format).
 TYPES = {1: "B", 2: "s", 3: "H", 4: "I", 6: "b", 8: "h", 9: "i", 11: "f", 12: "d", 16: "Q"}
@@ -127,13 +130,11 @@ def cells(spark: SparkSession, path: str) -> DataFrame:
                         names=["file", "y", "x", "lon", "lat", "bands"],
                     )
 
-    return files.mapInArrow(run, "file string, y bigint, x bigint, lon double, lat double, bands array<double>")
+    return map_arrow(files, run, "file string, y bigint, x bigint, lon double, lat double, bands array<double>")
 
 
 def images(blocks: DataFrame, size: int, west: float, north: float, res: float, nodata: float = -9999.0) -> DataFrame:
     """A GeoTIFF for each block of ``size`` by ``size`` cells (``y``, ``x``, ``bands``): ``by``, ``bx``, ``tiff``. A block, a fixed number of cells, is one group."""
-    from pyspark.sql import functions as F
-
     keyed = blocks.select(F.floor(F.col("y") / size).alias("by"), F.floor(F.col("x") / size).alias("bx"), "y", "x", "bands")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -145,4 +146,4 @@ def images(blocks: DataFrame, size: int, west: float, north: float, res: float,
         raster = Raster(out, west + bx * size * res, north - by * size * res, res, res, nodata)
         return pa.table({"by": [by], "bx": [bx], "tiff": pa.array([encode(raster)], pa.binary())})
 
-    return keyed.groupBy("by", "bx").applyInArrow(run, "by bigint, bx bigint, tiff binary")
+    return group_arrow(keyed.groupBy("by", "bx"), run, "by bigint, bx bigint, tiff binary", blocks.sparkSession)

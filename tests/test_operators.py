@@ -87,10 +87,11 @@ def test_components(spark):
 def test_component_chain_and_empty(spark):
     n = 300
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
-    nodes = spark.range(n + 2).withColumnRenamed("id", "node")
-    got = {r["node"]: r["component"] for r in graph.components(nodes, edges).collect()}
-    assert got == {**{i: 0 for i in range(n + 1)}, n + 1: n + 1}
-    assert graph.components(nodes.limit(2), edges.limit(0)).count() == 2
+    got = {r["node"]: r["component"] for r in graph.connected_components(edges).collect()}
+    assert got == {i: 0 for i in range(n + 1)}
+    assert graph.connected_components(edges.limit(0)).count() == 0
+    odd = spark.createDataFrame([(5, 5), (None, 1), (7, 3), (3, 7), (7, 9)], "a long, b long")
+    assert sorted(map(tuple, graph.connected_components(odd).collect())) == [(3, 3), (7, 3), (9, 3)]
 
 
 def test_nearest_fill(spark):

@@ -46,10 +46,10 @@ def focal_mean(cells: DataFrame, k: int, values: Sequence[str] = ("z",), suffix:
     """
     h = k // 2
     across, down = along_x().rangeBetween(-h, h), along_y().rangeBetween(-h, h)
-    grid = near_blocks(cells.select("y", "x", *values), h)
-    first = grid.select("y", "x", *[F.sum(v).over(across).alias(f"_s_{v}") for v in values], *[F.count(v).over(across).alias(f"_n_{v}") for v in values])
-    second = first.select("y", "x", *[(F.sum(f"_s_{v}").over(down) / F.nullif(F.sum(f"_n_{v}").over(down), F.lit(0))).alias(v + suffix) for v in values])
-    return cells.join(second, ["y", "x"])
+    grid = near_blocks(cells.withColumn("_here", F.lit(True)), h)
+    sums = {f"_s_{v}": F.sum(v).over(across) for v in values} | {f"_n_{v}": F.count(v).over(across) for v in values}
+    means = {v + suffix: F.sum(f"_s_{v}").over(down) / F.nullif(F.sum(f"_n_{v}").over(down), F.lit(0)) for v in values}
+    return grid.withColumns(sums).withColumns(means).where("_here").drop("_here", *sums)
 
 
 def focal_mean_padded(cells: DataFrame, k: int, width: int, height: int, values: Sequence[str] = ("z",), suffix: str = "_mean") -> DataFrame:
@@ -69,14 +69,14 @@ def focal_mean_padded(cells: DataFrame, k: int, width: int, height: int, values:
 
 def rugosity(cells: DataFrame, k: int = 3, z: str = "z") -> DataFrame:
     """``cells`` with ``rugosity``, the standard deviation of ``z`` over the square."""
-    means = focal_mean(cells.select("y", "x", F.col(z).alias("_z"), (F.col(z) * F.col(z)).alias("_zz")), k, ("_z", "_zz"))
-    return cells.join(means.select("y", "x", F.sqrt(F.greatest(F.col("_zz_mean") - F.col("_z_mean") * F.col("_z_mean"), F.lit(0.0))).alias("rugosity")), ["y", "x"])
+    means = focal_mean(cells.withColumn("_z", F.col(z)).withColumn("_zz", F.col(z) * F.col(z)), k, ("_z", "_zz"))
+    spread = F.sqrt(F.greatest(F.col("_zz_mean") - F.col("_z_mean") * F.col("_z_mean"), F.lit(0.0)))
+    return means.withColumn("rugosity", spread).drop("_z", "_zz", "_z_mean", "_zz_mean")
 
 
 def position_index(cells: DataFrame, k: int, z: str = "z") -> DataFrame:
     """``cells`` with ``bpi``: the value less its focal mean."""
-    means = focal_mean(cells.select("y", "x", F.col(z).alias("_z")), k, ("_z",))
-    return cells.join(means.select("y", "x", (F.col("_z") - F.col("_z_mean")).alias("bpi")), ["y", "x"])
+    return focal_mean(cells.withColumn("_z", F.col(z)), k, ("_z",)).withColumn("bpi", F.col(z) - F.col("_z_mean")).drop("_z", "_z_mean")
 
 
 def slope(cells: DataFrame, width: int, height: int, z: str = "z", cell_size: float = 1.0) -> DataFrame:

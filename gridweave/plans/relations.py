@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridweave.functions.geo import Grid
@@ -78,7 +78,6 @@ def cells(spark: SparkSession, sf: str) -> DataFrame:
 
 def waypoints(spark: SparkSession, sf: str) -> DataFrame:
     """Each track as a route, in order of time."""
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("track").orderBy("ts", "event_id")
-    return soundings(spark, sf).select(F.col("track").alias("route"), (F.row_number().over(order) - 1).alias("idx"), "lon", "lat")
+    order = Window.partitionBy("route").orderBy("ts", "event_id")
+    tracks = soundings(spark, sf).select(F.col("track").alias("route"), "ts", "event_id", "lon", "lat")
+    return tracks.select("route", (F.row_number().over(order) - 1).alias("idx"), "lon", "lat")

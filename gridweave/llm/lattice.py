@@ -12,17 +12,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridweave.llm.common import candidate_blocks, map_arrow, member_lists, spanning_forest, written
-from gridweave.llm.components import connected_components
+from gridweave.llm.common import candidate_blocks, member_lists, spanning_forest
+from gridweave.operators.graph import connected_components
+from gridweave.sources.scratch import written
+from gridweave.sources.workers import map_arrow
 
 
 @dataclass(frozen=True)
 class Lattice:
     """Tables, neighbouring cells probed in each, size of a unit vector's projection in lattice units, seed."""
 
-    tables: int = 8
-    probes: int = 4
-    scale: float = 2.5
+    tables: int = 5
+    probes: int = 3
+    scale: float = 1.75
     seed: int = 42
 
 
@@ -90,55 +92,50 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & ~broken & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _vectors(column: pa.Array) -> list[np.ndarray]:
-    """Unit vectors in double precision of a list column, in order."""
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
-    out = np.split(values, ends[:-1]) if len(ends) else []
-    tops = [np.abs(v).max() for v in out]
-    return [v / t / np.linalg.norm(v / t) for v, t in zip(out, tops)]
+def unit_rows(values: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one in double precision, however large or small their numbers are."""
+    rows = values.astype(np.float64)
+    rows /= np.abs(rows).max(1)[:, None]
+    return rows / np.sqrt((rows * rows).sum(1))[:, None]
 
 
 def hashed(distinct: DataFrame, lattice: Lattice) -> DataFrame:
-    """Rows (``id``, ``label``, ``copies``, ``t``, ``cell``, ``own``, ``vector``, ``keys``) for each vector, table, and cell, its own or a probed one.
+    """Rows (``id``, ``label``, ``dim``, ``copies``, ``t``, ``cell``, ``own``, ``vector``) for each vector, table, and cell, its own or a probed one.
 
-    ``vector`` holds the unit vector's doubles and ``keys`` all cells of the vector, both as bytes.
+    ``vector`` holds the numbers as they came, as bytes.
     """
-    names = ["id", "label", "dim", "copies", "t", "cell", "own", "vector", "keys"]
+    names = ["id", "label", "dim", "copies", "t", "cell", "own", "vector"]
     each = lattice.tables * (1 + lattice.probes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                units = _vectors(batch.column(3))
-                dims = np.array([len(u) for u in units])
-                for dim in np.unique(dims).tolist():
-                    rows = np.flatnonzero(dims == dim)
-                    unit = np.stack([units[i] for i in rows])
-                    keys = cells(unit, lattice)
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                column = batch.column(3)
+                values, lengths = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
+                starts = np.cumsum(lengths) - lengths
+                for dim in np.unique(lengths).tolist():
+                    rows = np.flatnonzero(lengths == dim)
+                    vectors = np.stack([values[starts[i] : starts[i] + dim] for i in rows])
+                    keys = cells(unit_rows(vectors), lattice)
                     take = pa.array(np.repeat(rows, each))
-                    again = np.repeat(np.arange(len(rows)), each)
-                    table = np.tile(np.repeat(np.arange(lattice.tables, dtype=np.int32), 1 + lattice.probes), len(rows))
-                    own = np.tile(np.arange(1 + lattice.probes) == 0, len(rows) * lattice.tables)
-                    vectors, named = [u.tobytes() for u in unit], [k.tobytes() for k in keys]
+                    raw = [v.tobytes() for v in vectors]
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(take),
                             batch.column(1).take(take),
                             pa.array(np.full(len(take), dim, np.int32)),
                             batch.column(2).take(take),
-                            pa.array(table),
+                            pa.array(np.tile(np.repeat(np.arange(lattice.tables, dtype=np.int32), 1 + lattice.probes), len(rows))),
                             pa.array(keys.reshape(-1)),
-                            pa.array(own),
-                            pa.array([vectors[i] for i in again.tolist()], pa.binary()),
-                            pa.array([named[i] for i in again.tolist()], pa.binary()),
+                            pa.array(np.tile(np.arange(1 + lattice.probes) == 0, len(rows) * lattice.tables)),
+                            pa.array([v for v in raw for _ in range(each)], pa.binary()),
                         ],
                         names=names,
                     )
 
     kinds = dict(distinct.dtypes)
-    return map_arrow(distinct.select("id", "label", "copies", "vector"), run, f"id bigint, label {kinds['label']}, dim int, copies bigint, t int, cell bigint, own boolean, vector binary, keys binary")
+    return map_arrow(distinct.select("id", "label", "copies", "vector"), run, f"id bigint, label {kinds['label']}, dim int, copies bigint, t int, cell bigint, own boolean, vector binary")
 
 
 def _first_meeting(keys: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,14 +153,13 @@ def _first_meeting(keys: np.ndarray, left: np.ndarray, right: np.ndarray) -> tup
     return table, cell
 
 
-def links(keyed: DataFrame, lattice: Lattice, least: float, block: int) -> DataFrame:
+def links(keyed: DataFrame, lattice: Lattice, least: float, block: int, number: str) -> DataFrame:
     """Rows ``a, b, n``: links of vector ``a`` counted in a block (``n``, with null ``b``), and tree edges between ``a`` and ``b``.
 
-    In a block, members whose own cell it is are compared with all others by the cosine of their vectors. Two vectors may meet in several
-    blocks; a link is counted only where ``_first_meeting`` says, so the counts add up without a table of pairs.
+    In a block, members whose own cell it is are compared with all others by the cosine of their vectors (bytes of ``number``). Two vectors
+    may meet in several blocks; a link is counted only where ``_first_meeting`` says, so the counts add up without a table of pairs.
     """
-    groups = candidate_blocks(keyed, ["label", "dim", "t", "cell"], F.xxhash64("id"), ["id", "copies", "own", "vector", "keys"], block)
-    width = (lattice.tables, 1 + lattice.probes)
+    groups = candidate_blocks(keyed, ["label", "dim", "t", "cell"], F.xxhash64("id"), ["id", "copies", "own", "vector"], block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,29 +168,30 @@ def links(keyed: DataFrame, lattice: Lattice, least: float, block: int) -> DataF
             offsets, flat = member_lists(batch)
             tables, homes, dims = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("t", "cell", "dim"))
             chunk, ids, copies, own = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("chunk", "id", "copies", "own"))
-            vectors, keys = flat.field("vector"), flat.field("keys")
+            vectors = flat.field("vector")
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for g in np.flatnonzero(np.diff(offsets) > 1).tolist():
                 a, b = int(offsets[g]), int(offsets[g + 1])
                 if not own[a:b].any():
                     continue
-                unit = np.frombuffer(b"".join(vectors.slice(a, b - a).to_pylist()), np.float64).reshape(-1, dims[g])
+                unit = unit_rows(np.frombuffer(b"".join(vectors.slice(a, b - a).to_pylist()), number).reshape(-1, dims[g]))
                 close = unit @ unit.T >= least
                 np.fill_diagonal(close, False)
                 close &= own[a:b, None] | own[None, a:b]
                 if chunk[a:b].min() != chunk[a:b].max():
                     close &= chunk[a:b, None] != chunk[None, a:b]
-                if not close.any():
+                some = np.flatnonzero(close.any(1))
+                if not len(some):
                     continue
-                named = np.frombuffer(b"".join(keys.slice(a, b - a).to_pylist()), np.int64).reshape(-1, *width)
+                close, names, times = close[np.ix_(some, some)], ids[a:b][some], copies[a:b][some]
                 left, right = np.nonzero(np.triu(close))
-                where, cell = _first_meeting(named, left, right)
-                counts = (where == tables[g]) & (cell == homes[g])
-                n = np.bincount(left[counts], copies[a:b][right[counts]], b - a) + np.bincount(right[counts], copies[a:b][left[counts]], b - a)
-                some = np.flatnonzero(n)
-                out.append((ids[a:b][some], np.full(len(some), -1), n[some].astype(np.int64)))
+                where, cell = _first_meeting(cells(unit[some], lattice), left, right)
+                here = (where == tables[g]) & (cell == homes[g])
+                n = (np.bincount(left[here], times[right[here]], len(some)) + np.bincount(right[here], times[left[here]], len(some))).astype(np.int64)
+                counted = np.flatnonzero(n)
+                out.append((names[counted], np.full(len(counted), -1), n[counted]))
                 tree = np.array(list(spanning_forest(close)))
-                out.append((ids[a:b][tree[:, 0]], ids[a:b][tree[:, 1]], np.zeros(len(tree), np.int64)))
+                out.append((names[tree[:, 0]], names[tree[:, 1]], np.zeros(len(tree), np.int64)))
             if out:
                 first, second, n = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(second, mask=n > 0), pa.array(n)], names=["a", "b", "n"])
@@ -211,10 +208,12 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, lattice: Lattice = Lat
     Vectors that are null, empty, zero, or hold a null or a number that is not finite, and rows with a null label or id, link with nothing. Ids
     are taken to be unique; repeated rows are copies of each other. No rows give no rows; other columns are ignored.
     """
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"), F.col(label_col).alias("label"))
+    kept = F.col(vector_col) if dict(vectors.dtypes)[vector_col] == "array<float>" else F.col(vector_col).cast("array<double>")
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), kept.alias("vector"), F.col(label_col).alias("label"))
     fit = F.coalesce(F.col("label").isNotNull() & F.col("id").isNotNull() & usable(F.col("vector")), F.lit(False))
     distinct = written(rows.where(fit).groupBy("label", "vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors")
-    found = written(links(hashed(distinct, lattice), lattice, least, block), "links")
+    number = "<f4" if dict(rows.dtypes)["vector"] == "array<float>" else "<f8"
+    found = written(links(hashed(distinct, lattice), lattice, least, block, number), "links")
     counts = found.groupBy("a").agg(F.sum("n").alias("links")).where("links > 0")
     reach = connected_components(found.where("b IS NOT NULL"))
     named = (

@@ -11,8 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridweave.llm.common import map_arrow, written
 from gridweave.llm.tokens import encode
+from gridweave.sources.scratch import written
+from gridweave.sources.workers import map_arrow
 
 #: Pieces of one length that one window group holds on average.
 GROUP = 20_000
@@ -101,7 +102,8 @@ def best_fit(sizes: np.ndarray, left: np.ndarray, bins: list[tuple[dict[int, int
         if j < 0:
             out.append((pattern, times))
             continue
-        each = int(min(room // sizes[j], max(1, left[j] // times)))
+        most = int(min(room // sizes[j], left[j]))
+        each = most if not pattern else int(min(most, max(1, left[j] // times)))  # a new bin takes all it can, and as many are opened as that fills
         some = int(min(times, left[j] // each))
         if some < times and pattern:
             todo.append((pattern, room, times - some, top))

@@ -15,7 +15,7 @@ class Template:
     A turn is ``head + role name + colon + text + end``. ``escapes`` maps each control string to its escape, the backslash last: it is
     escaped first and read back last, so every backslash in escaped text begins an escape. ``head`` and ``end`` hold a control string
     and escaped text holds none, so no text can be taken for them. ``names`` gives a role's name in the output; any other role keeps its
-    own, escaped, and a colon in it is escaped too.
+    own, escaped, with its colons escaped too, and marked where it is the name of another.
     ``moves`` lists for each state (the role before, empty at the start) the roles that may come next.
     """
 
@@ -39,13 +39,15 @@ class Template:
         return text
 
     def name(self, role: Column) -> Column:
-        out = F.replace(self.escape(role), F.lit(":"), F.lit("\\c"))
+        own = F.replace(self.escape(role), F.lit(":"), F.lit("\\c"))
+        out = F.when(own.isin(*self.names.values()), F.concat(F.lit("\\r"), own)).otherwise(own) if self.names else own
         for key, value in self.names.items():
             out = F.when(role == key, F.lit(value)).otherwise(out)
         return out
 
     def role(self, name: Column) -> Column:
-        out = self.unescape(F.replace(name, F.lit("\\c"), F.lit(":")))
+        own = F.when(name.startswith("\\r"), F.substr(name, F.lit(3))).otherwise(name)
+        out = self.unescape(F.replace(own, F.lit("\\c"), F.lit(":")))
         for key, value in self.names.items():
             out = F.when(name == value, F.lit(key)).otherwise(out)
         return out

@@ -16,6 +16,7 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
     sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
     sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY n)) AS loss_sha256,
     sum(15 + length(CASE role WHEN 'system' THEN 'System' WHEN 'user' THEN 'User' WHEN 'assistant' THEN 'Assistant'
+            WHEN 'System' THEN '\rSystem' WHEN 'User' THEN '\rUser' WHEN 'Assistant' THEN '\rAssistant'
             ELSE replace(replace(replace(replace(role, '\', '\s'), '</turn>', '\e'), '###', '\h'), ':', '\c') END)
         + length(replace(replace(replace(text, '\', '\s'), '</turn>', '\e'), '###', '\h')))::BIGINT AS formatted_chars,
     bool_and(CASE before WHEN '' THEN n = 1 AND role IN ('system', 'user') WHEN 'system' THEN role = 'user' WHEN 'user' THEN role = 'assistant'

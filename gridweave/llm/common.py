@@ -1,17 +1,12 @@
-"""Shared helpers: tables in the shared scratch folder, bounded candidate blocks, spanning forests."""
+"""Shared helpers: words, column names, bounded candidate blocks, spanning forests."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-import zipfile
-from collections.abc import Callable, Iterator
-from pathlib import Path
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but these six ASCII white-space characters.
@@ -19,63 +14,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of one candidate bucket that are compared in one task; larger buckets become pairs of chunks.
 BLOCK = 1024
 
-_roots: dict[str, str] = {}
-_shipped: set[str] = set()
 
-
-def scratch_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which driver and executors share; a temporary one only where that is unset."""
-    app = spark.sparkContext.applicationId
-    if app not in _roots:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            base = tempfile.mkdtemp(prefix="gridweave-")
-            spark.sparkContext.setCheckpointDir(base)
-        _roots[app] = f"{base.rstrip('/')}/gridweave-{uuid.uuid4().hex}"
-        atexit.register(_delete, spark, _roots[app])
-    return _roots[app]
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    """Delete a folder through Spark's own file systems; a session that is already gone leaves it to its owner."""
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the JVM ends before the interpreter in some hosts
-        return
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing uses yet."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it again: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once for an application, so that they need no shared code folder."""
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        package = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="gridweave-code-")) / "gridweave.zip"
-        with zipfile.ZipFile(archive, "w") as out:
-            for source in sorted(package.rglob("*.py")):
-                out.write(source, source.relative_to(package.parent))
-        spark.sparkContext.addPyFile(str(archive))
-        _shipped.add(app)
-
-
-def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
-    ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it while ``df`` has a column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def word_count(text: Column) -> Column:

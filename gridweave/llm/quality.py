@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridweave.llm.common import map_arrow
 from gridweave.llm.tokens import encode, raw_bytes
+from gridweave.sources.workers import map_arrow
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\v\f\r"
@@ -38,7 +38,7 @@ BANDS: dict[str, Band] = {
     "fr": Band(2.12, 7.0, 0.08),
     "es": Band(2.10, 7.0, 0.08),
     "latin": Band(1.80, 7.0, 0.15),
-    "other": Band(0.45, 7.0, 0.95, 1.5),
+    "other": Band(0.30, 7.0, 1.0, 1.5),
 }
 #: Least token entropy in bits (second row) at a binary logarithm of the number of tokens (first row), linear between.
 ENTROPY_FLOOR = ((5.0, 6.0, 7.0, 8.0, 9.0, 10.0, 11.0, 12.0), (4.0, 4.6, 5.2, 5.65, 6.0, 6.3, 6.5, 6.6))

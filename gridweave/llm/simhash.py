@@ -11,8 +11,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridweave.llm.common import candidate_blocks, map_arrow, member_lists, spanning_forest, written
-from gridweave.llm.components import connected_components
+from gridweave.llm.common import candidate_blocks, fresh, member_lists, spanning_forest
+from gridweave.operators.graph import connected_components
+from gridweave.sources.scratch import written
+from gridweave.sources.workers import map_arrow
 
 #: Hashes whose bits are counted at a time, so that a very long text needs no more memory than others.
 STEP = 32_768
@@ -63,7 +65,7 @@ def block_masks(distance: int, blocks: int) -> list[int]:
     return [sum(runs[i] for i in chosen) for chosen in combinations(range(blocks), blocks - distance)]
 
 
-def close_pairs(prints: DataFrame, distance: int = 4, blocks: int = 6, block_rows: int = 2048) -> DataFrame:
+def close_pairs(prints: DataFrame, distance: int = 4, blocks: int = 6, block_rows: int = 1024) -> DataFrame:
     """Tree edges ``a``, ``b`` between ids of distinct fingerprints (columns ``id``, ``fp``) within ``distance`` bits.
 
     Distance 4 over 6 blocks leaves two whole blocks in common, so a row goes to 15 buckets of 21 bits. Buckets are
@@ -117,6 +119,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` less those whose component has a smaller id; repeated rows stay once, null ids stay."""
-    gone = simhash_components(docs, id_col, text_col, **options).where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    known = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col) == F.col("_gone"), "left_anti").dropDuplicates([id_col, text_col])
+    name = fresh(docs, "gone")
+    gone = simhash_components(docs, id_col, text_col, **options).where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias(name)).distinct()
+    known = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col) == F.col(name), "left_anti").dropDuplicates([id_col, text_col])
     return known.unionByName(docs.where(F.col(id_col).isNull()))

@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridweave.llm.common import map_arrow, new_path
+from gridweave.sources.scratch import new_path
+from gridweave.sources.workers import map_arrow
 
 CRLF = "\r\n"
 VERSION = "WARC/1.1"

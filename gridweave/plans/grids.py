@@ -439,9 +439,9 @@ def scattered_interpolation(spark, sf):
     return interpolated(known, targets, F.floor(F.col("py") / 10)).select("id", R6("value"))
 
 
-@query("band_windows", "SELECT date_trunc('day', ts) AS start, CASE WHEN abs(depth_m) <= 15 THEN 'validated' WHEN abs(depth_m) <= 25 THEN 'optical-wall' ELSE 'coarse' END AS band, count(*)::BIGINT AS n, round(avg(depth_m), 6) AS mean_depth, min(depth_m) AS deepest FROM s0 GROUP BY ALL")
+@query("band_windows", "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS start, CASE WHEN abs(depth_m) <= 15 THEN 'validated' WHEN abs(depth_m) <= 25 THEN 'optical-wall' ELSE 'coarse' END AS band, count(*)::BIGINT AS n, round(avg(depth_m), 6) AS mean_depth, min(depth_m) AS deepest FROM s0 GROUP BY ALL")
 def band_windows(spark, sf):
     """Extra: bands per day, by the operator that also runs on streams."""
     from gridweave.streaming.bands import windowed_bands
 
-    return windowed_bands(soundings(spark, sf)).select("start", "band", "n", R6("mean_depth"), "deepest")
+    return windowed_bands(soundings(spark, sf)).select(F.date_format("start", "yyyy-MM-dd").alias("start"), "band", "n", R6("mean_depth"), "deepest")

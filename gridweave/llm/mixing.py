@@ -13,7 +13,7 @@ from gridweave.sources.scratch import written
 #: A prime and that prime over the golden ratio: multiples of the second modulo the first, over the first, fill an interval evenly.
 PRIME, STEP = 2_147_483_647, 1_327_217_884
 #: Rows or slots that one window group holds on average.
-GROUP = 20_000
+GROUP = 2_000
 
 
 @dataclass(frozen=True)

@@ -1,4 +1,4 @@
-"""Main text of web pages: subtrees that recur over many pages of a host are site template and go, as do parts that are no article."""
+"""Main text of web pages: subtrees that recur over many pages of a host are site template and go, as do parts that are no article by their kind."""
 
 from __future__ import annotations
 
@@ -121,9 +121,10 @@ def is_main(node: Node) -> bool:
 
 
 def blocks(root: Node) -> list[tuple[str, list[bytes], bool]]:
-    """Texts of blocks in page order, each with the hashes of the subtrees that hold it and whether it is in a main element.
+    """Texts of blocks in page order, each with the hashes of the subtrees that may be taken out with it, and whether it is in a main element.
 
-    A subtree's hash covers its tag, its attributes that name it, and its texts and subtrees in order. Parts that are no article are left out.
+    A subtree's hash covers its tag, its attributes that name it, and its texts and subtrees in order. In a main element only the
+    outermost such element may be taken out, elsewhere any subtree below the root. Parts that are no article by their kind are left out.
     """
     out: list[tuple[str, list[bytes], bool]] = []
     order: list[tuple[Node, bool]] = []  # (element, whether leaving)
@@ -147,22 +148,27 @@ def blocks(root: Node) -> list[tuple[str, list[bytes], bool]]:
         text = " ".join("".join(pieces).split())
         pieces.clear()
         if text:
-            out.append((text, list(path), inside))
+            out.append((text, [main[0]] if inside else path[1:], inside))
 
     path: list[bytes] = []
+    main: list = []  # of the outermost main element that is open: its hash, itself
     walk: list[tuple] = [("open", root, False)]
     while walk:
         what, node, inside = walk.pop()
         if what == "text":
             pieces.append(node)
         elif what == "close":
-            if node.tag in BLOCK:
+            if node.tag in BLOCK or main and main[-1] is node:
                 close(path, inside)
             path.pop()
+            if main and main[-1] is node:
+                main.clear()
         elif not left_out(node, inside):
             now = inside or is_main(node)
-            if node.tag in BLOCK:
+            if node.tag in BLOCK or now != inside:
                 close(path, inside)
+            if now and not inside:
+                main[:] = [digests[id(node)], node]
             path.append(digests[id(node)])
             walk.append(("close", node, now))
             walk.extend(("text" if isinstance(c, str) else "open", c, now) for c in reversed(node.children))
@@ -178,46 +184,41 @@ def host_of(url: str | None) -> str:
 
 
 def page_blocks(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per page: id, url, host, and ``blocks`` (text, inside a main element, hashes of the subtrees around it, outermost first)."""
+    """One row per page: id, url, host, ``marked`` (whether it has a main element) and ``blocks`` (text, hashes): of a marked page those inside."""
     kept = pages.select(F.col(id_col), F.col(url_col).alias("url"), F.col(html_col).alias("_html"))
-    item = pa.struct([("text", pa.string()), ("inside", pa.bool_()), ("hashes", pa.list_(pa.int64()))])
+    item = pa.struct([("text", pa.string()), ("hashes", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            urls = batch.column(1).to_pylist()
-            rows = []
+            rows, marked = [], []
             for html in batch.column(2):
                 found = blocks(parse(html.as_py() or ""))
-                rows.append([{"text": t, "inside": i, "hashes": [int.from_bytes(h, "little", signed=True) for h in hs]} for t, hs, i in found])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([host_of(u) for u in urls]), pa.array(rows, pa.list_(item))], names=[id_col, "url", "host", "blocks"])
+                marked.append(any(inside for _, _, inside in found))
+                rows.append([{"text": t, "hashes": [int.from_bytes(h, "little", signed=True) for h in hs]} for t, hs, inside in found if inside == marked[-1]])
+            hosts = [host_of(u) for u in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(marked, pa.bool_()), pa.array(rows, pa.list_(item))], names=[id_col, "url", "host", "marked", "blocks"])
 
     kind = dict(kept.dtypes)[id_col]
-    return map_arrow(kept, run, f"`{id_col}` {kind}, url string, host string, blocks array<struct<text:string,inside:boolean,hashes:array<bigint>>>")
+    return map_arrow(kept, run, f"`{id_col}` {kind}, url string, host string, marked boolean, blocks array<struct<text:string,hashes:array<bigint>>>")
 
 
 def main_text(pages: DataFrame, least_pages: int = 5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: id, ``url``, ``text`` and ``n_chars`` (code points).
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are left out by what they are. Where a page marks
-    its article or main part, the rest is left out, and all that remains in it stays, also if other pages have it too: copied articles and
-    shared passages are content. Other pages lose the subtrees that recur over ``least_pages`` or more pages of their host with
-    different texts otherwise, counted over all pages. Character references are decoded; white space in a block becomes one space; blocks are
-    joined by one space. Null html is empty, a null url has the empty host; repeated rows count as one page for templates
-    and are returned as often as they come; null ids stay; no rows give no rows; other columns are not read.
+    its article or main part, the rest is left out too. Then subtrees that recur over ``least_pages`` or more pages of a host with
+    different texts in all are deleted as its template, counted over all pages: in a marked part only the whole part (such as
+    a teaser beside the article, unless the page has nothing else), because copied articles and shared passages are content; in other
+    pages any subtree. Character references are decoded; white space in a block becomes one space; blocks are joined by one space.
+    Null html is empty, a null url has the empty host; repeated rows count as one page for templates and are returned as often as
+    they come; null ids stay; no rows give no rows; other columns are not read.
     """
-    found = written(page_blocks(pages, id_col, url_col, html_col).withColumn("_row", F.monotonically_increasing_id()), "blocks")
-    marked = F.exists("blocks", lambda b: b["inside"])
-    inner = F.filter("blocks", lambda b: b["inside"])
     text = lambda bs: F.array_join(F.transform(bs, lambda b: b["text"]), " ")
-    done = found.where(marked).select(id_col, "url", text(inner).alias("text"))
-
-    # pages without a marked part: a template's subtrees recur over pages whose other text differs
-    bare = found.where(~marked)
-    sign = F.xxhash64(text(F.col("blocks")))
-    seen = bare.select("host", sign.alias("page"), F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: F.slice(b["hashes"], 2, 1 << 30))))).alias("hash")).distinct()
-    template = seen.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages).select("host", "hash")
-    rows = bare.select("_row", id_col, "url", "host", F.posexplode_outer("blocks").alias("at", "b"))
-    hit = rows.select("_row", "at", "host", F.explode("b.hashes").alias("hash")).join(template, ["host", "hash"], "left_semi").select("_row", "at").distinct().withColumn("hit", F.lit(True))
-    parts = rows.join(hit, ["_row", "at"], "left").withColumn("keep", F.when(F.col("hit").isNull() & F.col("b").isNotNull(), F.struct("at", F.col("b.text").alias("text"))))
-    rest = parts.groupBy("_row", id_col, "url").agg(F.sort_array(F.collect_list("keep")).alias("bs")).select(id_col, "url", text(F.col("bs")).alias("text"))
-    return done.unionByName(rest).withColumn("n_chars", F.char_length("text").cast("long"))
+    found = written(page_blocks(pages, id_col, url_col, html_col).withColumn("_row", F.monotonically_increasing_id()).withColumn("_page", F.xxhash64(text(F.col("blocks")))), "blocks")
+    seen = found.select("_row", "host", "_page", F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["hashes"])))).alias("hash"))
+    template = seen.select("host", "hash", "_page").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
+    # written, so that its size is known when the join is planned: the texts are only moved if many pages hold templates
+    hits = written(seen.join(template, ["host", "hash"], "left_semi").groupBy("_row").agg(F.collect_set("hash").alias("gone")), "templates")
+    left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["hashes"], F.col("gone")))
+    kept = F.when(F.col("gone").isNull() | (F.col("marked") & (F.size(left) == 0)), F.col("blocks")).otherwise(left)
+    return found.join(hits, "_row", "left").select(id_col, "url", text(kept).alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

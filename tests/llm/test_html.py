@@ -51,6 +51,18 @@ def test_shared_passages_of_articles_stay(spark):
     assert extract(spark, pages)[4][1] == "The same passage. Own 4"
 
 
+def test_recurring_main_parts_go_beside_others(spark):
+    teaser = "<article><h2>Popular</h2><p>The same teaser</p></article>"
+    pages = [("http://big.example/%d" % n, f"{teaser}<article><p>Story {n}</p></article>") for n in range(7)] + [("http://big.example/t", teaser)]
+    got = extract(spark, pages)
+    assert got[3][1] == "Story 3" and got[7][1] == "Popular The same teaser"
+
+
+def test_nested_and_inline_main_parts(spark):
+    pages = [("http://a/", "x<span role=main>a<b>b</b><article>c</article></span>d<main>e</main>")]
+    assert extract(spark, pages)[0][1] == "ab c e"
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(None, "http://a/", "<p>x</p>", "", 1, "", ""), (1, "http://a/", "<p>y</p>", "", 1, "", ""), (1, "http://a/", "<p>y</p>", "", 1, "", "")]
     got = html.main_text(spark.createDataFrame(rows, SCHEMA)).collect()

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridweave.llm.common import fresh, word_count
+from gridweave.llm.common import WORD, fresh, word_count
 from gridweave.sources.scratch import written
 
 #: A prime and that prime over the golden ratio: multiples of the second modulo the first, over the first, fill an interval evenly.
@@ -157,5 +157,5 @@ def take_mix(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col
     key, times, copy = (fresh(docs, name) for name in ("id", "times", "copy"))
     ratio = F.try_divide(F.sum("taken"), F.sum("size"))
     ratios = mixed(docs, mix, id_col, text_col, source_col).groupBy(F.col(id_col).alias(key)).agg(F.floor(ratio + 0.5).alias(times)).where(F.col(times) > 0)
-    chosen = docs.where(word_count(F.col(text_col)) > 0).join(ratios, F.col(id_col).eqNullSafe(F.col(key)))
+    chosen = docs.where(F.col(text_col).rlike(WORD)).join(ratios, F.col(id_col).eqNullSafe(F.col(key)))
     return chosen.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns)

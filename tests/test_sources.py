@@ -117,3 +117,48 @@ def test_reports_and_measures(spark):
     got = routes.measure(way).first()
     assert got["metres"] == pytest.approx(12105, abs=10) and got["bearing"] == pytest.approx(0, abs=1e-6)
     assert spark.range(1).select(F.length(values.stable_id(F.lit("a"), F.lit("b"))), F.length(values.date_stamp()), F.length(values.new_id())).first() == (16, 10, 36)
+
+
+def netcdf(version, record):
+    """A file with latitudes, longitudes and heights, the latter along a growing dimension if ``record``."""
+    count = ">q" if version == 5 else ">i"
+    pad = lambda b: b + bytes(-len(b) % 4)
+    name = lambda s: struct.pack(count, len(s)) + pad(s.encode())
+    none = struct.pack(">i", 0) + struct.pack(count, 0)
+    lat, lon = np.array([-27.0, -27.5], ">f8"), np.array([32.0, 32.5, 33.0], ">f4")
+    z = np.array([[1, -99, 3], [4, 5, 6]], ">i2")
+    attributes = struct.pack(">i", 12) + struct.pack(count, 2) + name("_FillValue") + struct.pack(">i", 3) + struct.pack(count, 1) + pad(struct.pack(">h", -99)) + name("scale_factor") + struct.pack(">i", 6) + struct.pack(count, 1) + struct.pack(">d", 0.5)
+    parts = [("lat", [0], none, 6, lat), ("lon", [1], none, 5, lon), ("z", [0, 1], attributes, 3, z)]
+    fixed = [p for p in parts if not (record and p[1][0] == 0)]
+    moving = [p for p in parts if record and p[1][0] == 0]
+    sizes = {p[0]: len(pad(p[4].tobytes() if p in fixed else p[4][0].tobytes())) for p in parts}
+
+    def header(begins):
+        out = b"CDF" + bytes([version]) + struct.pack(count, 2 if record else 0) + struct.pack(">i", 10) + struct.pack(count, 2)
+        out += name("lat") + struct.pack(count, 0 if record else 2) + name("lon") + struct.pack(count, 3) + none + struct.pack(">i", 11) + struct.pack(count, 3)
+        for n, dims, atts, kind, _ in parts:
+            out += name(n) + struct.pack(count, len(dims)) + b"".join(struct.pack(count, d) for d in dims) + atts + struct.pack(">i", kind) + struct.pack(count, sizes[n]) + struct.pack(">i" if version == 1 else ">q", begins[n])
+        return out
+
+    at = len(header(dict.fromkeys(sizes, 0)))
+    begins, body = {}, b""
+    for p in fixed:
+        begins[p[0]] = at + len(body)
+        body += pad(p[4].tobytes())
+    for p in moving:
+        begins[p[0]] = at + len(body) + sum(sizes[q[0]] for q in moving[: moving.index(p)])
+    for i in range(2 if record else 0):
+        body += b"".join(pad(p[4][i].tobytes()) for p in moving)
+    return header(begins) + body
+
+
+@pytest.mark.parametrize("version", [1, 2, 5])
+@pytest.mark.parametrize("record", [False, True])
+def test_netcdf(spark, tmp_path, version, record):
+    from gridweave.sources import netcdf as source
+
+    (tmp_path / "a.nc").write_bytes(netcdf(version, record))
+    got = {(r["y"], r["x"]): (r["lon"], r["lat"], r["z"]) for r in source.cells(spark, str(tmp_path / "a.nc"), "z").collect()}
+    assert got == {(0, 0): (32.0, -27.0, 0.5), (0, 2): (33.0, -27.0, 1.5), (1, 0): (32.0, -27.5, 2.0), (1, 1): (32.5, -27.5, 2.5), (1, 2): (33.0, -27.5, 3.0)}
+    with pytest.raises(ValueError):
+        source.variables(b"\x89HDF\r\n\x1a\n")

@@ -131,7 +131,7 @@ def netcdf(version, record):
     parts = [("lat", [0], none, 6, lat), ("lon", [1], none, 5, lon), ("z", [0, 1], attributes, 3, z)]
     fixed = [p for p in parts if not (record and p[1][0] == 0)]
     moving = [p for p in parts if record and p[1][0] == 0]
-    sizes = {p[0]: len(pad(p[4].tobytes() if p in fixed else p[4][0].tobytes())) for p in parts}
+    sizes = {p[0]: len(pad(p[4].tobytes() if p in fixed else p[4][:1].tobytes())) for p in parts}
 
     def header(begins):
         out = b"CDF" + bytes([version]) + struct.pack(count, 2 if record else 0) + struct.pack(">i", 10) + struct.pack(count, 2)
@@ -148,7 +148,7 @@ def netcdf(version, record):
     for p in moving:
         begins[p[0]] = at + len(body) + sum(sizes[q[0]] for q in moving[: moving.index(p)])
     for i in range(2 if record else 0):
-        body += b"".join(pad(p[4][i].tobytes()) for p in moving)
+        body += b"".join(pad(p[4][i : i + 1].tobytes()) for p in moving)
     return header(begins) + body
 
 

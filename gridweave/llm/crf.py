@@ -23,7 +23,7 @@ _MAIL = re.compile(r"[^@\s]+@[^@\s]+\.[^@\s]+")
 
 @dataclass(frozen=True)
 class Token:
-    """A word with a digit or an at sign: its place in the text, its number among the words' candidates, and what stands around."""
+    """A word with a digit or an at sign: its place in the text, and what stands before it."""
 
     start: int
     end: int

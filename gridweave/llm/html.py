@@ -106,13 +106,17 @@ def parse(html: str) -> Node:
             stack.append(node)
 
 
-def left_out(node: Node, inside: bool) -> bool:
-    """Whether an element is no part of an article by its kind; a header with a heading in an article belongs to it."""
-    if node.tag in DROPPED or node.hidden:
+def left_out(node: Node, inside: bool, holds: bool) -> bool:
+    """Whether an element is no part of an article by its kind.
+
+    A header with a heading in an article belongs to it. A class and a form say nothing about an element that ``holds`` the page's
+    first-order heading or its main element: such are wrappers of the page.
+    """
+    if node.hidden or node.tag in DROPPED and not (node.tag == "form" and holds):
         return True
     if node.tag == "header":
         return not (inside and any(isinstance(c, Node) and re.fullmatch("h[1-6]", c.tag) for c in node.children))
-    return bool(node.marks and node.tag not in ("html", "body") and _MARKS.search(node.marks))
+    return bool(node.marks and not holds and node.tag not in ("html", "body") and _MARKS.search(node.marks))
 
 
 def is_main(node: Node) -> bool:
@@ -136,7 +140,10 @@ def blocks(root: Node) -> list[tuple[str, list[bytes], bool]]:
             todo.append((node, True))
             todo.extend((c, False) for c in node.children if isinstance(c, Node))
     digests: dict[int, bytes] = {}
+    holds: set[int] = set()  # elements around the first-order heading or the main element
     for node, _ in order:
+        if any(isinstance(c, Node) and (id(c) in holds or c.tag in ("h1", "main") or "main" in c.marks.lower().split()) for c in node.children):
+            holds.add(id(node))
         h = blake2b(f"{node.tag}|{node.marks}".encode("utf-8", "surrogatepass"), digest_size=8)
         for child in node.children:
             h.update(digests[id(child)] if isinstance(child, Node) else b"t" + " ".join(child.split()).encode("utf-8", "surrogatepass"))
@@ -163,7 +170,7 @@ def blocks(root: Node) -> list[tuple[str, list[bytes], bool]]:
             path.pop()
             if main and main[-1] is node:
                 main.clear()
-        elif not left_out(node, inside):
+        elif not left_out(node, inside, id(node) in holds):
             now = inside or is_main(node)
             if node.tag in BLOCK or now != inside:
                 close(path, inside)

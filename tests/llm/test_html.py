@@ -63,6 +63,11 @@ def test_nested_and_inline_main_parts(spark):
     assert extract(spark, pages)[0][1] == "ab c e"
 
 
+def test_wrappers_of_a_page_stay(spark):
+    page = '<body><form id="aspnetForm"><div class="page sidebar-right"><div class="sidebar">no</div><h1>Title</h1><p>Text</p><input><div class="share">no</div></div></form></body>'
+    assert extract(spark, [("http://a/", page)])[0][1] == "Title Text"
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(None, "http://a/", "<p>x</p>", "", 1, "", ""), (1, "http://a/", "<p>y</p>", "", 1, "", ""), (1, "http://a/", "<p>y</p>", "", 1, "", "")]
     got = html.main_text(spark.createDataFrame(rows, SCHEMA)).collect()

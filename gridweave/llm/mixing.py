@@ -96,6 +96,7 @@ def schedule(targets: DataFrame, slots: int, mix: Mix) -> DataFrame:
     finish = F.array(*[F.lit(x["e"] / ends[-1]["e"] if x is not ends[-1] else 2.0) for x in ends], *[F.lit(2.0)] * (width - len(ends)))
     names = F.array(*[F.lit(x["s"]) for x in ends])
     point = F.pmod(F.pmod(F.col("k") + 1, F.lit(PRIME)) * STEP, F.lit(PRIME)) / F.lit(float(PRIME))
+    # binary search for the first end above the point, over ends that are padded to a power of two
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(width.bit_length() - 1))] or [F.lit(0)])
     found = F.aggregate(steps, F.lit(0), lambda at, half: at + F.when((half > 0) & (F.element_at(finish, F.greatest(at + half, F.lit(1))) <= F.col("p")), half).otherwise(0))
     located = spark.range(slots).withColumnRenamed("id", "k").withColumn("p", point).withColumn("s", F.element_at(names, found + 1)).withColumn("run", F.floor(F.col("k") / GROUP)).drop("p")

@@ -149,6 +149,16 @@ def test_nearest_site_both_ways(spark):
     assert {r["km"] for r in prospect.nearest_km(points, sites.limit(0)).collect()} == {999.0}
 
 
+def test_grid_places(spark):
+    grid = geo.Grid.metric(32.62, -27.62, 32.82, -27.32, 10)
+    assert (grid.width, grid.height) == (2226, 3340)
+    points = spark.createDataFrame([(32.62, -27.32), (32.8199, -27.6199), (32.5, -27.5), (32.7, -27.0)], "lon double, lat double")
+    got = points.select(grid.row(F.col("lat")).alias("y"), grid.col(F.col("lon")).alias("x")).select("y", "x", grid.holds(F.col("y"), F.col("x")).alias("inside")).collect()
+    assert [r["inside"] for r in got] == [True, True, False, False] and (got[0]["y"], got[0]["x"]) == (0, 0)
+    ring = spark.range(1).select(geo.box_ring((0, 1, 2, 3))).first()[0]
+    assert ring[0] == ring[-1] == [0.0, 1.0] and len(ring) == 5
+
+
 def test_rings(spark):
     ring = F.array(*[F.struct(F.lit(float(a)).alias("x"), F.lit(float(b)).alias("y")) for a, b in ((0, 0), (4, 0), (4, 4), (2, 1), (0, 4), (0, 0))])
     points = spark.createDataFrame([(1.0, 1.0), (2.0, 3.0), (5.0, 1.0)], "x double, y double")
@@ -243,6 +253,8 @@ def test_trees_beat_the_mean(spark):
     fitted = model.fit_trees(known.where("NOT holdout"), "depth", rounds=10, depth=4, step=0.3)
     scored = model.predict(fitted, known.where("holdout"), ["id"], floor=-1e9).select(F.sqrt(F.avg(F.pow(F.col("predicted") - F.col("depth"), 2))), F.stddev("depth")).first()
     assert scored[0] < scored[1]
+    about = model.summary(fitted, known.where("NOT holdout"), model.baseline(known.where("NOT holdout"), "stumpf", "depth")).first()
+    assert about["n_train"] == known.where("NOT holdout").count() and about["model"] == "GBTRegressor(10)" and len(about["features"]) == 7
 
 
 def test_stream_gives_the_tables_bands(spark, tmp_path):

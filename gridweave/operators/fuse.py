@@ -9,15 +9,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def block_median(points: DataFrame, y: Column, x: Column, z: str, least: int = 1) -> DataFrame:
-    """Median of the points of each cell, and their number. Only cells with ``least`` or more points are kept."""
-    cells = points.select(y.alias("y"), x.alias("x"), F.col(z).alias("_z")).groupBy("y", "x").agg(F.median("_z").alias("z"), F.count("_z").alias("n"))
+def _median(column: str, accuracy: int | None) -> Column:
+    """Exact median, which holds a cell's distinct values, or one from a sketch of bounded size."""
+    return F.median(column) if accuracy is None else F.percentile_approx(column, 0.5, accuracy)
+
+
+def block_median(points: DataFrame, y: Column, x: Column, z: str, least: int = 1, accuracy: int | None = None) -> DataFrame:
+    """Median of the points of each cell, and their number. Only cells with ``least`` or more points are kept.
+
+    Points are pre-aggregated before they are shuffled. Where single cells may hold a large part of all points, an ``accuracy`` bounds
+    what is kept of each; the result is then a value near the median.
+    """
+    cells = points.select(y.alias("y"), x.alias("x"), F.col(z).alias("_z")).groupBy("y", "x").agg(_median("_z", accuracy).alias("z"), F.count("_z").alias("n"))
     return cells.where(F.col("n") >= least)
 
 
-def composite(scenes: DataFrame, keys: Sequence[str], bands: Sequence[str]) -> DataFrame:
+def composite(scenes: DataFrame, keys: Sequence[str], bands: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """Median of each band over the scenes of a cell, nodata passed over."""
-    return scenes.groupBy(*keys).agg(*[F.median(b).alias(b) for b in bands])
+    return scenes.groupBy(*keys).agg(*[_median(b, accuracy).alias(b) for b in bands])
 
 
 def deglint(visible: Column, infrared: Column) -> Column:

@@ -46,7 +46,7 @@ def score(rug: Column, t_rug: Column, bpi: Column, t_bpi: Column) -> Column:
     return F.least(F.lit(10.0), F.greatest(F.lit(0.0), (rug / (t_rug + 1e-6)) * (bpi / (t_bpi + 1e-6))))
 
 
-def nearest_km(points: DataFrame, sites: DataFrame, none: float = 999.0, most_sites: int = 100_000) -> DataFrame:
+def nearest_km(points: DataFrame, sites: DataFrame, none: float = 999.0, most_sites: int = 1000) -> DataFrame:
     """Points (``id``, ``lon``, ``lat``) with the distance to the nearest site.
 
     Up to ``most_sites`` sites are counted and then held by every task as one array. More of them meet the points in rings of growing

@@ -113,6 +113,14 @@ def test_fusion_takes_the_first_tier(spark):
     assert fuse.composition(spark.createDataFrame([], "source int")).count() == 0
 
 
+def test_medians_exact_and_bounded(spark):
+    points = spark.range(10_001).select((F.col("id") % 2).alias("c"), F.col("id").cast("double").alias("z"))
+    exact = fuse.block_median(points, F.col("c"), F.lit(0), "z", least=5001).collect()
+    near = fuse.block_median(points, F.col("c"), F.lit(0), "z", accuracy=200).orderBy("y").collect()
+    assert [(r["y"], r["z"], r["n"]) for r in exact] == [(0, 5000.0, 5001)]
+    assert [abs(r["z"] - 5000) < 100 for r in near] == [True, True]
+
+
 def test_split_keeps_tracks_whole(spark):
     points = model.split(spark.range(2000).select((F.col("id") % 97).alias("track")))
     assert points.groupBy("track").agg(F.count_distinct("holdout").alias("n")).where("n > 1").count() == 0

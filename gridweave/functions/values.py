@@ -22,7 +22,7 @@ def depth_down(primary: Column, other: Column | None = None) -> Column:
 
 
 def confidence_floor(label: Column) -> Column:
-    """Threshold of a named confidence level; 0.6 for an unknown one."""
+    """Threshold of a named confidence level; 0.6 for an unknown one (fixed values)."""
     return F.when(label == "low", 0.3).when(label == "medium", 0.6).when(label == "high", 0.8).otherwise(0.6)
 
 

@@ -72,11 +72,15 @@ def import_totals(imported: DataFrame) -> DataFrame:
     return imported.agg(F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("skipped"), F.count(F.lit(1)).alias("total"))
 
 
+#: Where sites from dive logs come from, as their descriptions say (fixed value).
+LOG = "Garmin dive log"
+
+
 def describe(name: Column, depth: Column, dives: Column) -> Column:
     """Sentence on a site; depth in whole metres."""
     deep = F.when(depth.isNull(), "depth n/a").otherwise(F.concat(F.lit("~"), F.format_string("%.0f", F.bround(depth, 0)), F.lit(" m max")))
     logged = F.when(F.coalesce(dives, F.lit("")) == "", "logged dive").otherwise(F.concat(dives, F.lit(" logged dive(s)")))
-    return F.concat(name, F.lit(": "), deep, F.lit(", from "), logged, F.lit(" (Garmin dive log)."))
+    return F.concat(name, F.lit(": "), deep, F.lit(", from "), logged, F.lit(f" ({LOG})."))
 
 
 def dive_sites(rows: DataFrame, box: tuple[float, float, float, float]) -> DataFrame:

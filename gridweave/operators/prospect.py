@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridweave.functions.geo import Grid, haversine_km, in_ring
 from gridweave.operators.raster import label_components
 
+#: Substrates that speak for a lead and against it (fixed values).
 REEF = ("Reef", "Prominent Reef", "Scattered Reef")
 SOFT = ("Sand", "Coarse Shelly Sediment")
 

@@ -8,7 +8,7 @@ from pathlib import Path
 
 @dataclass(frozen=True)
 class Params:
-    """Settings that operators take; names not listed here are passed over, as nothing reads them."""
+    """Settings that operators take, with the defaults of such workflows (fixed values); other names are passed over, as nothing reads them."""
 
     grid_res_m: float = 10.0
     nir_land_threshold: float = 0.06

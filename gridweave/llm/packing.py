@@ -16,7 +16,7 @@ from gridweave.sources.scratch import written
 from gridweave.sources.workers import map_arrow
 
 #: Pieces of one length that one window group holds on average.
-GROUP = 2_000
+GROUP = 500
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

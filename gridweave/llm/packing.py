@@ -72,7 +72,7 @@ def solve(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int, rat
     """Fractional covering of the histogram by patterns, by multiplicative weights.
 
     Prices start at size over capacity, the dual of the bound by volume, and grow for sizes that lag behind. Each round prices all
-    patterns by a knapsack and adds the best one, as much as its scarcest size allows of the round's share.
+    patterns by a knapsack and gives the best one an equal share of all sequences.
     """
     bins = max(1.0, float((sizes * counts).sum()) / capacity)
     covered = np.zeros(len(sizes))
@@ -130,7 +130,7 @@ class Plan:
         return self.first[at] + inside // self.each[at], self.offset[at] + inside % self.each[at] * size
 
 
-def plan(histogram: dict[int, int], capacity: int = 2048, rounds: int = 240, rate: float = 0.5, passes: int = 3, small: float = 0.4) -> Plan:
+def plan(histogram: dict[int, int], capacity: int = 2048, rounds: int = 240, rate: float = 0.5, passes: int = 3, small: float = 0.2) -> Plan:
     """Cover a histogram of lengths exactly by sequences of ``capacity``.
 
     The configuration program is solved for lengths over ``small`` of the capacity; its solution is rounded down to whole sequences that

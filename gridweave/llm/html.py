@@ -124,13 +124,14 @@ def is_main(node: Node) -> bool:
     return node.tag in ("article", "main") or "main" in node.marks.lower().split()
 
 
-def blocks(root: Node) -> list[tuple[str, list[bytes], bool]]:
-    """Texts of blocks in page order, each with the hashes of the subtrees that may be taken out with it, and whether it is in a main element.
+def blocks(root: Node) -> list[tuple[str, list[bytes], list[bytes], bool]]:
+    """Texts of blocks in page order, each with the hashes of the subtrees around it, and whether it is in a main element.
 
-    A subtree's hash covers its tag, its attributes that name it, and its texts and subtrees in order. In a main element only the
-    outermost such element may be taken out, elsewhere any subtree below the root. Parts that are no article by their kind are left out.
+    A subtree's hash covers its tag, its attributes that name it, and its texts and subtrees in order. The first hashes are those of
+    the outermost main element or, outside of one, of any subtree below the root; the second are those of the subtrees
+    below the outermost main element. Parts that are no article by their kind are left out.
     """
-    out: list[tuple[str, list[bytes], bool]] = []
+    out: list[tuple[str, list[bytes], list[bytes], bool]] = []
     order: list[tuple[Node, bool]] = []  # (element, whether leaving)
     todo: list[tuple[Node, bool]] = [(root, False)]
     while todo:  # children before parents, without recursion, however deep a page is
@@ -155,10 +156,10 @@ def blocks(root: Node) -> list[tuple[str, list[bytes], bool]]:
         text = " ".join("".join(pieces).split())
         pieces.clear()
         if text:
-            out.append((text, [main[0]] if inside else path[1:], inside))
+            out.append((text, [main[0]] if inside else path[1:], path[main[2] :] if inside else [], inside))
 
     path: list[bytes] = []
-    main: list = []  # of the outermost main element that is open: its hash, itself
+    main: list = []  # of the outermost main element that is open: its hash, itself, where the path goes on below it
     walk: list[tuple] = [("open", root, False)]
     while walk:
         what, node, inside = walk.pop()
@@ -175,7 +176,7 @@ def blocks(root: Node) -> list[tuple[str, list[bytes], bool]]:
             if node.tag in BLOCK or now != inside:
                 close(path, inside)
             if now and not inside:
-                main[:] = [digests[id(node)], node]
+                main[:] = [digests[id(node)], node, len(path) + 1]
             path.append(digests[id(node)])
             walk.append(("close", node, now))
             walk.extend(("text" if isinstance(c, str) else "open", c, now) for c in reversed(node.children))
@@ -191,41 +192,50 @@ def host_of(url: str | None) -> str:
 
 
 def page_blocks(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per page: id, url, host, ``marked`` (whether it has a main element) and ``blocks`` (text, hashes): of a marked page those inside."""
+    """One row per page: id, url, host, ``marked`` (whether it has a main element), ``blocks`` (text, hashes, inner) and ``beside``.
+
+    Of a marked page the blocks are those inside; ``beside`` has the hashes of the subtrees around the others.
+    """
     kept = pages.select(F.col(id_col), F.col(url_col).alias("url"), F.col(html_col).alias("_html"))
-    item = pa.struct([("text", pa.string()), ("hashes", pa.list_(pa.int64()))])
+    item = pa.struct([("text", pa.string()), ("hashes", pa.list_(pa.int64())), ("inner", pa.list_(pa.int64()))])
+    numbers = lambda hs: [int.from_bytes(h, "little", signed=True) for h in hs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, marked = [], []
+            rows, marked, beside = [], [], []
             for html in batch.column(2):
                 found = blocks(parse(html.as_py() or ""))
-                marked.append(any(inside for _, _, inside in found))
-                rows.append([{"text": t, "hashes": [int.from_bytes(h, "little", signed=True) for h in hs]} for t, hs, inside in found if inside == marked[-1]])
+                marked.append(any(inside for *_, inside in found))
+                rows.append([{"text": t, "hashes": numbers(hs), "inner": numbers(low)} for t, hs, low, inside in found if inside == marked[-1]])
+                beside.append(numbers({h for _, hs, _, inside in found if inside != marked[-1] for h in hs}))
             hosts = [host_of(u) for u in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(marked, pa.bool_()), pa.array(rows, pa.list_(item))], names=[id_col, "url", "host", "marked", "blocks"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(marked, pa.bool_()), pa.array(rows, pa.list_(item)), pa.array(beside, pa.list_(pa.int64()))], names=[id_col, "url", "host", "marked", "blocks", "beside"])
 
     kind = dict(kept.dtypes)[id_col]
-    return map_arrow(kept, run, f"`{id_col}` {kind}, url string, host string, marked boolean, blocks array<struct<text:string,hashes:array<bigint>>>")
+    return map_arrow(kept, run, f"`{id_col}` {kind}, url string, host string, marked boolean, blocks array<struct<text:string,hashes:array<bigint>,inner:array<bigint>>>, beside array<bigint>")
 
 
-def main_text(pages: DataFrame, least_pages: int = 5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def main_text(pages: DataFrame, least_pages: int = 5, least_inside: int = 20, share_inside: float = 0.5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: id, ``url``, ``text`` and ``n_chars`` (code points).
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are left out by what they are. Where a page marks
     its article or main part, the rest is left out too. Then subtrees that recur over ``least_pages`` or more pages of a host with
-    different texts in all are deleted as its template, counted over all pages: in a marked part only the whole part (such as
-    a teaser beside the article, unless the page has nothing else), because copied articles and shared passages are content; in other
-    pages any subtree. Character references are decoded; white space in a block becomes one space; blocks are joined by one space.
+    different texts in all are deleted as its template, counted over all pages, inside and outside of marked parts: in a page without a
+    marked part any subtree, else the whole part (such as a teaser beside the article, unless the page has nothing else). A subtree
+    inside a marked part goes if it recurs over ``least_inside`` or more of them and over ``share_inside`` or more of all the host's
+    different texts, because copied articles and passages that some of them share are content. Character references are decoded; white space in a block becomes one space; blocks are joined by one space.
     Null html is empty, a null url has the empty host; repeated rows count as one page for templates and are returned as often as
     they come; null ids stay; no rows give no rows; other columns are not read.
     """
     text = lambda bs: F.array_join(F.transform(bs, lambda b: b["text"]), " ")
     found = written(page_blocks(pages, id_col, url_col, html_col).withColumn("_row", F.monotonically_increasing_id()).withColumn("_page", F.xxhash64(text(F.col("blocks")))), "blocks")
-    seen = found.select("_row", "host", "_page", F.explode(F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["hashes"])))).alias("hash"))
-    template = seen.select("host", "hash", "_page").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_pages)
+    hashes = lambda name: F.flatten(F.transform("blocks", lambda b: b[name]))
+    seen = found.select("_row", "host", "_page", F.explode(F.array_distinct(F.concat(hashes("hashes"), hashes("inner"), "beside"))).alias("hash"))
+    texts = found.select("host", "_page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
+    counted = seen.select("host", "hash", "_page").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(least_pages, least_inside))
+    template = counted.join(texts, "host").select("host", "hash", (F.col("n") >= least_pages).alias("_outer"), ((F.col("n") >= least_inside) & (F.col("n") >= F.col("texts") * share_inside)).alias("_inner")).where("_outer OR _inner")
     # written, so that its size is known when the join is planned: the texts are only moved if many pages hold templates
-    hits = written(seen.join(template, ["host", "hash"], "left_semi").groupBy("_row").agg(F.collect_set("hash").alias("gone")), "templates")
-    left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["hashes"], F.col("gone")))
-    kept = F.when(F.col("gone").isNull() | (F.col("marked") & (F.size(left) == 0)), F.col("blocks")).otherwise(left)
+    hits = written(seen.join(template, ["host", "hash"]).groupBy("_row").agg(*[F.collect_set(F.when(F.col(f"_{name}"), F.col("hash"))).alias(name) for name in ("outer", "inner")]), "templates")
+    left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["hashes"], F.col("outer")) & ~F.arrays_overlap(b["inner"], F.col("inner")))
+    kept = F.when(F.col("outer").isNull() | (F.col("marked") & (F.size(left) == 0)), F.col("blocks")).otherwise(left)
     return found.join(hits, "_row", "left").select(id_col, "url", text(kept).alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))

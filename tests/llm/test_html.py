@@ -51,6 +51,20 @@ def test_shared_passages_of_articles_stay(spark):
     assert extract(spark, pages)[4][1] == "The same passage. Own 4"
 
 
+def test_templates_inside_articles_go(spark):
+    share = "<div class=box><p>Tell a friend</p><ul><li>By post</li></ul></div>"
+    page = lambda n: f"<nav>menu</nav><article><h1>Story {n}</h1>{'<p>Told by some.</p>' if n % 3 == 0 else ''}<p>Own {n}</p>{share}</article>"
+    got = extract(spark, [("http://big.example/%d" % n, page(n)) for n in range(30)] + [("http://small.example/%d" % n, page(n)) for n in range(9)] + [("http://copies.example/", page(3))] * 40)
+    assert got[4][1] == "Story 4 Own 4" and got[3][1] == "Story 3 Told by some. Own 3"
+    assert got[31][1] == "Story 1 Own 1 Tell a friend By post" and got[50][1] == "Story 3 Told by some. Own 3 Tell a friend By post"
+
+
+def test_subtrees_beside_articles_are_counted(spark):
+    box = "<div class=box><p>Welcome to our site</p></div>"
+    pages = [("http://big.example/%d" % n, f"{box}<article><p>Story {n}</p></article>") for n in range(4)] + [("http://big.example/b", f"{box}<p>No article here</p>")]
+    assert extract(spark, pages)[4][1] == "No article here"
+
+
 def test_recurring_main_parts_go_beside_others(spark):
     teaser = "<article><h2>Popular</h2><p>The same teaser</p></article>"
     pages = [("http://big.example/%d" % n, f"{teaser}<article><p>Story {n}</p></article>") for n in range(7)] + [("http://big.example/t", teaser)]

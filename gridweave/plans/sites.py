@@ -240,7 +240,7 @@ def flag_filter(spark, sf):
 @query("mojibake_repair")
 def mojibake_repair(spark, sf):
     """Texts read in the wrong encoding, on purpose, and put right."""
-    d = table(spark, sf, "documents").select("doc_id", F.left("text", F.lit(200)).alias("t"))
+    d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("t"))
     broken = d.withColumn("broken", F.decode(F.col("t").cast("binary"), "ISO-8859-1"))
     return broken.select("doc_id", (values.demojibake(F.col("broken")) == F.col("t")).alias("repaired"))
 

@@ -110,3 +110,14 @@ def test_documents(spark):
     collection = catalog.feature_collection(sites.withColumn("f", catalog.feature(F.col("lon"), F.col("lat"), F.struct("name"))), "f", "id", "sites").first()[0]
     assert len(json.loads(collection)["features"]) == 2
     assert catalog.csv_text(catalog.csv_lines(sites, ["id", "name"]), "id", ["id", "name"]).first()[0] == "id,name\r\n1,a<b\r\n2,gone"
+
+
+def test_mojibake_repair_reads_whole_texts(spark, tmp_path, monkeypatch):
+    from gridweave.plans import QUERIES
+
+    texts = [(1, "a" * 300 + " José"), (2, "plain " * 100_000), (3, "é\n漢 " * 100_000), (4, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    repaired = lambda: {r["doc_id"]: r["repaired"] for r in QUERIES["mojibake_repair"](spark, str(tmp_path)).collect()}
+    assert repaired() == {1: True, 2: True, 3: True, 4: None}
+    monkeypatch.setattr(values, "demojibake", lambda x: x)  # nothing is put right: the character after many others shows it
+    assert repaired() == {1: False, 2: True, 3: False, 4: None}

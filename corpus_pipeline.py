@@ -29,8 +29,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the mix takes them, to the nearest whole number of copies."""
-    return mixing.take_mix(docs)
+    """Rows as often as the mix takes them, fractions of copies drawn by a seeded hash, so that sources meet their targets."""
+    return mixing.take_mix(docs, drawn=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

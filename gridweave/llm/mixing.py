@@ -150,13 +150,19 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
     return some.select(*columns, "taken").unionByName(known.where("size = 0").select(*columns, F.lit(0).cast("long").alias("taken")))
 
 
-def take_mix(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def take_mix(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", drawn: bool = False) -> DataFrame:
     """The rows of ``docs`` as the mix takes them: each as often as ``taken`` over its size, to the nearest whole number.
 
-    Rows that share an id (or have none) share their ratio. Rows without words are not taken.
+    The nearest number is the same for most long rows of a source, so its words may miss its target by half its size. Where
+    ``drawn`` is set, a row is taken once more than the whole part of its ratio if a seeded hash of its id and text lies below the fraction, so
+    that a source has its target's words on average. Rows that share an id (or have none) share their ratio. Rows without words
+    are not taken.
     """
     key, times, copy = (fresh(docs, name) for name in ("id", "times", "copy"))
     ratio = F.try_divide(F.sum("taken"), F.sum("size"))
-    ratios = mixed(docs, mix, id_col, text_col, source_col).groupBy(F.col(id_col).alias(key)).agg(F.floor(ratio + 0.5).alias(times)).where(F.col(times) > 0)
+    ratios = mixed(docs, mix, id_col, text_col, source_col).groupBy(F.col(id_col).alias(key)).agg(ratio.alias(times)).where(F.col(times) > 0)
     chosen = docs.where(F.col(text_col).rlike(WORD)).join(ratios, F.col(id_col).eqNullSafe(F.col(key)))
-    return chosen.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns)
+    # another seed than that of the order in which documents are dealt
+    point = F.shiftrightunsigned(F.xxhash64(F.lit(mix.seed + 1), id_col, text_col), 11) / F.lit(float(1 << 53))
+    whole = F.floor(F.col(times)) + (point < F.col(times) - F.floor(times)).cast("long") if drawn else F.floor(F.col(times) + 0.5)
+    return chosen.withColumn(times, whole).where(F.col(times) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*docs.columns)

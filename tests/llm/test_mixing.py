@@ -98,3 +98,16 @@ def test_rows_are_taken_whole_times(spark):
     assert out.columns == df.columns
     counts = {r["doc_id"]: r["n"] for r in out.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert counts == {k: v for k, v in ratio.items() if v}
+
+
+def test_drawn_rows_meet_the_targets(spark):
+    rng = random.Random(4)
+    data = [(i, " ".join([f"w{i}"] * rng.randint(600, 1400)), "ab"[i % 2], "", 1, 1) for i in range(800)]
+    df, mix = spark.createDataFrame(data, SCHEMA), mixing.Mix(weights=(3.0, 1.0), share=0.8)
+    want, sizes = targets(sizes_of(data), weights=(3, 1), share=0.8), sizes_of(data)
+    words = lambda out: {r["source"]: r["n"] for r in out.groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()}
+    near, drawn = words(mixing.take_mix(df, mix)), words(mixing.take_mix(df, mix, drawn=True))
+    assert all(abs(drawn[k] - want[k]) < 0.07 * sizes[k] for k in want)
+    assert any(abs(near.get(k, 0) - want[k]) > 0.1 * sizes[k] for k in want)
+    again = [sorted(r["doc_id"] for r in mixing.take_mix(df.repartition(n), mix, drawn=True).collect()) for n in (1, 5)]
+    assert again[0] == again[1]

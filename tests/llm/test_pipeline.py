@@ -61,6 +61,13 @@ def test_mixing(stages):
     assert abs(taken - 1.5 * total) < 0.1 * total
 
 
+def test_sources_meet_their_targets(spark):
+    texts = [(i, f"w{i} " * 1000, "en", "abc"[i % 3], 1) for i in range(900)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["source"]: r["n"] for r in corpus_pipeline.mix_sources(spark, docs, SF).groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert abs(got["a"] - 600) <= 20 and abs(got["b"] - 250) <= 20 and abs(got["c"] - 500) <= 20, got
+
+
 def test_packing(stages):
     docs = [(r["doc_id"], r["text"]) for r in stages[4].collect()]
     unique = dict(docs)

@@ -1,16 +1,18 @@
-"""Main text of web pages: subtrees that recur over many pages of a host are site template and go, as do parts that are no article by their kind."""
+"""Main text of web pages: subtrees that recur over a host's pages are site template and go; kind rules judge only what recurs nowhere."""
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from hashlib import blake2b
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from gridweave.sources.scratch import written
 from gridweave.sources.workers import map_arrow
@@ -18,12 +20,16 @@ from gridweave.sources.workers import map_arrow
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is text up to their end tag, whatever it holds.
 RAW = frozenset("script style textarea title noscript xmp iframe noframes template".split())
+#: Elements that show no text of their own; they are no part of a subtree's hash either.
+UNSEEN = frozenset("head script style noscript template iframe noframes svg canvas object embed audio video map title".split())
 #: Elements that are never part of an article.
-DROPPED = frozenset("head script style noscript template iframe noframes nav footer aside form button select option input textarea dialog menu svg canvas object embed audio video map title".split())
+DROPPED = UNSEEN | frozenset("nav footer aside form button select option input textarea dialog menu".split())
 BLOCK = frozenset("address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: What an open ``p`` ends at.
 _ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
-_SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+#: Elements that end at the start of another of their kind, by the kind; the scopes that they cannot leave.
+_KINDS = {"li": "item", "dt": "term", "dd": "term", "tr": "row", "td": "cell", "th": "cell", "option": "choice"}
+_ENDED = {"li": ("item",), "dt": ("term",), "dd": ("term",), "tr": ("cell", "row"), "td": ("cell",), "th": ("cell",), "option": ("choice",)}
 _SCOPES = frozenset("ul ol dl table select".split())
 #: Words of a class, id or role that mark menus, headers, footers, sidebars, notices, adverts, forms and comments of readers.
 _MARKS = re.compile(
@@ -31,8 +37,14 @@ _MARKS = re.compile(
     r"newsletter|subscribe|subscription|signup|login|search|share|sharing|social|related|recommended|comments?|respond|replies|disqus|pagination|pager|toolbar|skip-?link|copyright|disclaimer|complementary|contentinfo)(?:$|[\s_-])",
     re.I,
 )
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+_START = re.compile(r"([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:\"[^\"]*\"|'[^']*'|(?![\"'])))*+)>")
+#: The same where quotes do not match up: a tag then ends at its first ``>``.
+_BARE_START = re.compile(r"([a-zA-Z][^\s/>]*+)([^>]*+)>")
+_END = re.compile(r"/([a-zA-Z][^\s/>]*+)[^>]*+>")
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s\"'>]++))?")
+_LONG_NUMBER = re.compile(r"&#(?:([xX])([0-9a-fA-F]{8,})|([0-9]{8,}));?")
+#: Odd multipliers of the three orders in which a page's shingles are drawn for comparison.
+_ORDERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 @dataclass
@@ -41,82 +53,157 @@ class Node:
     marks: str = ""
     hidden: bool = False
     children: list = field(default_factory=list)
+    holds: bool = False  # the page's first-order heading or main element is somewhere below
+
+
+def _number(m: re.Match) -> str:
+    """A numeric reference of many digits: without its leading zeros, or the replacement character."""
+    digits = (m[2] or m[3]).lstrip("0") or "0"
+    return f"&#{m[1] or ''}{digits};" if len(digits) < 8 else "�"
+
+
+def decode(text: str) -> str:
+    """``text`` with its character references resolved, however long their numbers are."""
+    return unescape(_LONG_NUMBER.sub(_number, text)) if "&" in text else text
+
+
+class _Stack:
+    """Open elements, and for each tag and kind the places where it is open, so that no search walks over others."""
+
+    def __init__(self) -> None:
+        self.nodes = [Node("#root")]
+        self.places: dict[str, list[int]] = defaultdict(list)
+
+    @staticmethod
+    def _names(tag: str) -> list[str]:
+        out = [tag]
+        if tag in _ENDS_P or tag in ("li", "td", "th", "dd", "button"):
+            out.append("#p")
+        if tag in _KINDS:
+            out.append("#" + _KINDS[tag])
+        elif tag in _SCOPES:
+            out += ["#item", "#term", "#row", "#cell", "#choice"]
+        return out
+
+    def push(self, node: Node) -> None:
+        for name in self._names(node.tag):
+            self.places[name].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, depth: int) -> None:
+        for node in reversed(self.nodes[depth:]):
+            for name in self._names(node.tag):
+                self.places[name].pop()
+        del self.nodes[depth:]
+
+    def end_paragraph(self) -> None:
+        where = self.places["#p"]
+        if where and self.nodes[where[-1]].tag == "p":
+            self.cut(where[-1])
+
+    def end_kind(self, kind: str) -> None:
+        where = self.places["#" + kind]
+        if where and _KINDS.get(self.nodes[where[-1]].tag) == kind:
+            self.cut(where[-1])
+
+    def end(self, tag: str) -> None:
+        if tag == "p":
+            self.end_paragraph()
+        elif self.places[tag]:
+            self.cut(self.places[tag][-1])
 
 
 def parse(html: str) -> Node:
-    """Tree of elements and texts; unclosed elements end where their parents end, stray end tags and broken markup are passed over."""
-    root = Node("#root")
-    stack = [root]
-    at = 0
+    """Tree of elements and texts, in one pass forward over the text.
+
+    Unclosed elements end where their parents end, stray end tags are passed over. A comment or raw element without an end goes on to
+    the end of the page; what follows a ``<`` that begins a tag and never meets a ``>`` is dropped, as browsers do. If the quotes in a tag
+    do not match up, that tag and later ones end at their first ``>``.
+    """
+    stack = _Stack()
+    start_tag, at, last = _START, 0, html.rfind(">")
 
     def say(text: str) -> None:
         if text:
-            stack[-1].children.append(unescape(text) if "&" in text else text)
+            stack.nodes[-1].children.append(decode(text))
 
     while True:
-        m = _TAG.search(html, at)
-        if not m:
+        open_ = html.find("<", at)
+        if open_ < 0:
             say(html[at:])
-            return root
-        say(html[at : m.start()])
-        at = m.end()
-        if not m[2]:
-            if m.group().startswith("<![CDATA["):
-                say(m.group()[9:].removesuffix("]]>"))
+            return stack.nodes[0]
+        begin = html[open_ + 1 : open_ + 2]
+        if begin in ("!", "?") and begin:
+            say(html[at:open_])
+            if html.startswith("<!--", open_):
+                close, width = html.find("-->", open_ + 4), 3
+            elif html.startswith("<![CDATA[", open_):
+                close, width = html.find("]]>", open_ + 9), 3
+                say(html[open_ + 9 : close if close >= 0 else len(html)])
+            else:
+                close, width = html.find(">", open_ + 2), 1
+            if close < 0:
+                return stack.nodes[0]
+            at = close + width
             continue
-        tag = m[2].lower()
-        if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
-                if tag == "p" and stack[depth].tag in _ENDS_P:
-                    break
+        ends = begin == "/"
+        if not html[open_ + 1 + ends : open_ + 2 + ends].isascii() or not html[open_ + 1 + ends : open_ + 2 + ends].isalpha():
+            say(html[at : open_ + 1])  # no tag: a lone sign
+            at = open_ + 1
+            continue
+        say(html[at:open_])
+        if last < open_:
+            return stack.nodes[0]
+        if ends:
+            m = _END.match(html, open_ + 1)
+            at = m.end()
+            stack.end(m[1].lower())
             continue
+        m = start_tag.match(html, open_ + 1)
+        if not m:
+            start_tag = _BARE_START
+            m = start_tag.match(html, open_ + 1)
+        at = m.end()
+        tag = m[1].lower()
         if tag in _ENDS_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == "p":
-                    del stack[depth:]
-                    break
-                if stack[depth].tag in _ENDS_P or stack[depth].tag in ("li", "td", "th", "dd", "button"):
-                    break
-        for depth in range(len(stack) - 1, 0, -1) if tag in _SIBLINGS else ():
-            if stack[depth].tag in _SIBLINGS[tag]:
-                del stack[depth:]
-                break
-            if stack[depth].tag in _SCOPES:
-                break
+            stack.end_paragraph()
+        for kind in _ENDED.get(tag, ()):
+            stack.end_kind(kind)
         marks, hidden = "", False
-        if m[3] and m[3].strip(" /"):
-            for name, value in _ATTRIBUTE.findall(m[3]):
+        if m[2] and m[2].strip(" /"):
+            for name, value in _ATTRIBUTE.findall(m[2]):
                 name = name.lower()
                 if name in ("class", "id", "role"):
                     marks += " " + value.strip("\"'")
-                elif name == "aria-hidden" and "true" in value or name == "style" and re.search(r"display\s*:\s*none", value):
+                elif name == "hidden" or name == "aria-hidden" and "true" in value or name == "style" and re.search(r"display\s*:\s*none", value):
                     hidden = True
-            hidden = hidden or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", m[3]))
         node = Node(tag, marks, hidden)
-        stack[-1].children.append(node)
+        stack.nodes[-1].children.append(node)
+        if tag in ("h1", "main") or "main" in marks.lower().split():
+            for above in reversed(stack.nodes):
+                if above.holds:
+                    break
+                above.holds = True
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|$)[^>]*>?", re.I).search(html, at)
             if tag in ("textarea", "title"):
-                node.children.append(unescape(html[at : end.start() if end else len(html)]))
+                node.children.append(decode(html[at : end.start() if end else len(html)]))
             at = end.end() if end else len(html)
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
-            stack.append(node)
+        elif tag not in VOID and not m[2].rstrip().endswith("/"):
+            stack.push(node)
 
 
-def left_out(node: Node, inside: bool, holds: bool) -> bool:
+def left_out(node: Node, inside: bool) -> bool:
     """Whether an element is no part of an article by its kind.
 
-    A header with a heading in an article belongs to it. A class and a form say nothing about an element that ``holds`` the page's
+    A header with a heading in an article belongs to it. A class and a form say nothing about an element that holds the page's
     first-order heading or its main element: such are wrappers of the page.
     """
-    if node.hidden or node.tag in DROPPED and not (node.tag == "form" and holds):
+    if node.tag in DROPPED and not (node.tag == "form" and node.holds):
         return True
     if node.tag == "header":
         return not (inside and any(isinstance(c, Node) and re.fullmatch("h[1-6]", c.tag) for c in node.children))
-    return bool(node.marks and not holds and node.tag not in ("html", "body") and _MARKS.search(node.marks))
+    return bool(node.marks and not node.holds and node.tag not in ("html", "body") and _MARKS.search(node.marks))
 
 
 def is_main(node: Node) -> bool:
@@ -124,64 +211,103 @@ def is_main(node: Node) -> bool:
     return node.tag in ("article", "main") or "main" in node.marks.lower().split()
 
 
-def blocks(root: Node) -> list[tuple[str, list[bytes], list[bytes], bool]]:
-    """Texts of blocks in page order, each with the hashes of the subtrees around it, and whether it is in a main element.
+@dataclass(frozen=True)
+class Block:
+    text: str
+    inside: bool  # of a part that the page marks as its article or main part
+    ruled: bool  # left out by its kind, or that of an element around it
 
-    A subtree's hash covers its tag, its attributes that name it, and its texts and subtrees in order. The first hashes are those of
-    the outermost main element or, outside of one, of any subtree below the root; the second are those of the subtrees
-    below the outermost main element. Parts that are no article by their kind are left out.
-    """
-    out: list[tuple[str, list[bytes], list[bytes], bool]] = []
-    order: list[tuple[Node, bool]] = []  # (element, whether leaving)
-    todo: list[tuple[Node, bool]] = [(root, False)]
-    while todo:  # children before parents, without recursion, however deep a page is
-        node, leaving = todo.pop()
-        order.append((node, leaving)) if leaving else None
-        if not leaving:
-            todo.append((node, True))
-            todo.extend((c, False) for c in node.children if isinstance(c, Node))
-    digests: dict[int, bytes] = {}
-    holds: set[int] = set()  # elements around the first-order heading or the main element
-    for node, _ in order:
-        if any(isinstance(c, Node) and (id(c) in holds or c.tag in ("h1", "main") or "main" in c.marks.lower().split()) for c in node.children):
-            holds.add(id(node))
-        h = blake2b(f"{node.tag}|{node.marks}".encode("utf-8", "surrogatepass"), digest_size=8)
-        for child in node.children:
-            h.update(digests[id(child)] if isinstance(child, Node) else b"t" + " ".join(child.split()).encode("utf-8", "surrogatepass"))
-        digests[id(node)] = h.digest()
 
+@dataclass(frozen=True)
+class Subtree:
+    """The blocks from ``first`` to before ``end``: hash with the tags around it, place among its siblings from either end (none for a
+    first-order heading, which stands first in any article), whether in a main part."""
+
+    hash: int
+    first: int
+    end: int
+    head: int | None
+    tail: int | None
+    inside: bool
+
+
+def _hash(text: str) -> int:
+    return xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+
+
+def blocks(root: Node) -> tuple[list[Block], list[Subtree]]:
+    """Blocks in page order and the subtrees that cover them: runs of text, and elements with two parts or more.
+
+    Of elements around the same blocks the innermost stands for all, as it recurs wherever they do. A subtree's hash covers its tag,
+    the attributes that name it, its visible texts and subtrees in order, and the tags around it. The whole page is none.
+    """
+    out: list[Block] = []
+    found: list[Subtree] = []
     pieces: list[str] = []
+    # open block elements: their parts as (hash, first block, end, inside, whether a heading), what they are, the hash of the tags around and of them, whether inside
+    frames: list[tuple[list, Node, int, bool]] = [([], root, 0, False)]
 
-    def close(path: list[bytes], inside: bool) -> None:
+    def close(inside: bool, ruled: bool) -> None:
         text = " ".join("".join(pieces).split())
         pieces.clear()
         if text:
-            out.append((text, [main[0]] if inside else path[1:], path[main[2] :] if inside else [], inside))
-
-    path: list[bytes] = []
-    main: list = []  # of the outermost main element that is open: its hash, itself, where the path goes on below it
-    walk: list[tuple] = [("open", root, False)]
+            frames[-1][0].append((_hash("#text|" + text), len(out), len(out) + 1, inside, False))
+            out.append(Block(text, inside, ruled))
+
+    def leave() -> None:
+        parts, node, around, inside = frames.pop()
+        if len(parts) > 1:
+            for k, (own, first, end, within, title) in enumerate(parts):
+                found.append(Subtree((own * 31 + around) & (1 << 64) - 1, first, end, None if title else k, None if title else len(parts) - 1 - k, within))
+            parts = [(_hash(f"{node.tag}|{node.marks}|" + ",".join(str(p[0]) for p in parts)), parts[0][1], parts[-1][2], inside, False)]
+        if frames:
+            frames[-1][0].extend((own, first, end, inside, title or node.tag == "h1") for own, first, end, _, title in parts)
+
+    walk: list[tuple] = [("open", c, False, False) if isinstance(c, Node) else ("text", c, False, False) for c in reversed(root.children)]
     while walk:
-        what, node, inside = walk.pop()
+        what, node, inside, ruled = walk.pop()
         if what == "text":
             pieces.append(node)
         elif what == "close":
-            if node.tag in BLOCK or main and main[-1] is node:
-                close(path, inside)
-            path.pop()
-            if main and main[-1] is node:
-                main.clear()
-        elif not left_out(node, inside, id(node) in holds):
-            now = inside or is_main(node)
-            if node.tag in BLOCK or now != inside:
-                close(path, inside)
-            if now and not inside:
-                main[:] = [digests[id(node)], node, len(path) + 1]
-            path.append(digests[id(node)])
-            walk.append(("close", node, now))
-            walk.extend(("text" if isinstance(c, str) else "open", c, now) for c in reversed(node.children))
-    close(path, False)
-    return out
+            close(inside, ruled)
+            leave()
+        elif what == "inline":  # the end of a main part or of something left out, in running text
+            close(inside, ruled)
+        elif not (node.hidden or node.tag in UNSEEN):
+            now, out_ = inside or is_main(node), ruled or left_out(node, inside)
+            block = node.tag in BLOCK
+            if block or now != inside or out_ != ruled:
+                close(inside, ruled)
+                walk.append(("close" if block else "inline", node, now, out_))
+            if block:
+                frames.append(([], node, (frames[-1][2] * 31 + _hash(node.tag)) & (1 << 64) - 1, inside))
+            walk.extend(("text" if isinstance(c, str) else "open", c, now, out_) for c in reversed(node.children))
+    close(False, False)
+    leave()
+    return out, found
+
+
+def _companions(found: list[Block], subtrees: list[Subtree]) -> np.ndarray:
+    """For each subtree and each of three orders at random, the first three-word shingle of the blocks beside it.
+
+    Pages that share most of their text mostly agree on it, though each may differ somewhere; pages with different articles around a
+    common box do not.
+    """
+    words = [b.text.encode("utf-8", "surrogatepass").split(b" ") for b in found]
+    own = np.fromiter((xxh3_64_intdigest(w) for ws in words for w in ws), np.uint64)
+    starts = np.cumsum([0] + [len(ws) for ws in words[:-1]])
+    with np.errstate(over="ignore"):
+        shingles = own * _ORDERS[0]
+        shingles[:-1] += own[1:] * _ORDERS[1]
+        shingles[:-2] += own[2:] * _ORDERS[2]
+        shingles ^= shingles >> np.uint64(29)
+        mixed = shingles[:, None] * _ORDERS
+        drawn = np.minimum.reduceat(mixed ^ (mixed >> np.uint64(32)), starts)
+    none = np.full((1, 3), np.iinfo(np.uint64).max, np.uint64)
+    before = np.concatenate([none, np.minimum.accumulate(drawn)])
+    after = np.concatenate([np.minimum.accumulate(drawn[::-1])[::-1], none])
+    first, end = (np.array([getattr(s, name) for s in subtrees], np.int64) for name in ("first", "end"))
+    return np.minimum(before[first], after[end]).view(np.int64)
 
 
 def host_of(url: str | None) -> str:
@@ -189,53 +315,106 @@ def host_of(url: str | None) -> str:
     return re.split(r"[/?#]", rest, maxsplit=1)[0].lower()
 
 
+def _key(url: Column, html: Column) -> Column:
+    """128 bits of a row's content, by which templates find back to it: rows with equal content have equal templates."""
+    return F.struct(F.xxhash64(url, html).alias("a"), F.xxhash64(html, F.lit(1), url).alias("b"))
 
 
-def page_blocks(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per page: id, url, host, ``marked`` (whether it has a main element), ``blocks`` (text, hashes, inner) and ``beside``.
+_SUBTREE = pa.struct([("hash", pa.int64()), ("head", pa.int32()), ("tail", pa.int32()), ("inside", pa.bool_()), ("beside", pa.list_(pa.int64()))])
 
-    Of a marked page the blocks are those inside; ``beside`` has the hashes of the subtrees around the others.
-    """
-    kept = pages.select(F.col(id_col), F.col(url_col).alias("url"), F.col(html_col).alias("_html"))
-    item = pa.struct([("text", pa.string()), ("hashes", pa.list_(pa.int64())), ("inner", pa.list_(pa.int64()))])
-    numbers = lambda hs: [int.from_bytes(h, "little", signed=True) for h in hs]
+
+def _signed(number: int) -> int:
+    return number - (1 << 64) if number >> 63 else number
+
+
+def page_subtrees(pages: DataFrame) -> DataFrame:
+    """Of ``pages`` (``key``, ``url``, ``html``): ``key``, ``host``, ``page`` (hash of all its text) and ``subtrees``, each hash once in a page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, marked, beside = [], [], []
+            rows, texts = [], []
             for html in batch.column(2):
-                found = blocks(parse(html.as_py() or ""))
-                marked.append(any(inside for *_, inside in found))
-                rows.append([{"text": t, "hashes": numbers(hs), "inner": numbers(low)} for t, hs, low, inside in found if inside == marked[-1]])
-                beside.append(numbers({h for _, hs, _, inside in found if inside != marked[-1] for h in hs}))
+                found, subtrees = blocks(parse(html.as_py() or ""))
+                subtrees = list({s.hash: s for s in reversed(subtrees)}.values())
+                texts.append(_signed(_hash("\n".join(b.text for b in found))))
+                beside = _companions(found, subtrees).tolist() if subtrees else []
+                rows.append([{"hash": _signed(s.hash), "head": s.head, "tail": s.tail, "inside": s.inside, "beside": b} for s, b in zip(subtrees, beside)])
             hosts = [host_of(u) for u in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(marked, pa.bool_()), pa.array(rows, pa.list_(item)), pa.array(beside, pa.list_(pa.int64()))], names=[id_col, "url", "host", "marked", "blocks", "beside"])
-
-    kind = dict(kept.dtypes)[id_col]
-    return map_arrow(kept, run, f"`{id_col}` {kind}, url string, host string, marked boolean, blocks array<struct<text:string,hashes:array<bigint>,inner:array<bigint>>>, beside array<bigint>")
-
-
-def main_text(pages: DataFrame, least_pages: int = 5, least_inside: int = 20, share_inside: float = 0.5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hosts, pa.string()), pa.array(texts, pa.int64()), pa.array(rows, pa.list_(_SUBTREE))], names=["key", "host", "page", "subtrees"])
+
+    return map_arrow(pages, run, "key struct<a:bigint,b:bigint>, host string, page bigint, subtrees array<struct<hash:bigint,head:int,tail:int,inside:boolean,beside:array<bigint>>>")
+
+
+def templates(subtrees: DataFrame, least_pages: int, least_inside: int, share: float, share_placed: float, differ: float, stray: float) -> DataFrame:
+    """Keys of pages and the hashes of those of their subtrees that are template of their host, from ``page_subtrees``."""
+    each = subtrees.select("key", "host", "page", F.explode("subtrees").alias("s")).select(
+        "key", "host", "page", "s.hash", "s.head", "s.tail", "s.beside", "s.inside", F.xxhash64("host", "s.hash", "s.inside").alias("k"), F.when(F.col("s.inside"), least_inside).otherwise(least_pages).alias("least")
+    )
+    # pages with equal text count once; counts are added up before the shuffle by subtree, so a host of any size is no hot key
+    often = each.select("k", "page", "least").distinct().groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.first("least").alias("least")).where("n >= least").select("k", "n")
+    often = written(often, "recurring")
+    texts = subtrees.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
+    where = written(each.join(often, "k").select("key", "host", "page", "hash", "k", "n", "inside", "head", "tail", "beside"), "places")
+    other = [F.approx_count_distinct(F.col("beside")[i]) for i in range(3)]
+    judged = (
+        where.dropDuplicates(["k", "page"])
+        .groupBy("k", "n", "host", "inside")
+        .agg(F.least(F.var_pop("head"), F.var_pop("tail")).alias("stray"), F.sort_array(F.array(*other))[1].alias("others"))
+        .join(texts, "host")
+        .where((F.col("n") >= F.col("texts") * share) | (F.col("n") >= F.col("texts") * F.when(F.col("inside"), share_placed).otherwise(0.0)) & (F.col("stray") <= stray) & (F.col("others") >= F.col("n") * differ))
+    )
+    return where.join(judged.select("k"), "k", "left_semi").groupBy("key").agg(F.collect_set("hash").alias("template"))
+
+
+def text_of(html: str, template: set[int], rules: bool = True) -> str:
+    """Text of a page without the blocks that template subtrees cover and, with ``rules``, those outside its main part or left out by kind.
+
+    If templates leave a marked part nothing, the rest of the page is taken, and if they leave that nothing either, only the rules decide.
+    """
+    found, subtrees = blocks(parse(html))
+    covered = np.zeros(len(found) + 1, np.int64)
+    for s in subtrees:
+        if _signed(s.hash) in template:
+            covered[s.first] += 1
+            covered[s.end] -= 1
+    gone = np.cumsum(covered) > 0
+    if not rules:
+        return " ".join(b.text for b, g in zip(found, gone) if not g)
+    own = [(b, bool(g)) for b, g in zip(found, gone) if not b.ruled]
+    main = [(b, g) for b, g in own if b.inside] or own
+    kept = [b for b, g in main if not g] or [b for b, g in own if not g and not b.inside] or [b for b, _ in main]
+    return " ".join(b.text for b in kept)
+
+
+def main_text(
+    pages: DataFrame, least_pages: int = 5, least_inside: int = 20, share: float = 0.5, share_placed: float = 0.2, differ: float = 0.5, stray: float = 0.25, counts: bool = True, rules: bool = True, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+) -> DataFrame:
     """One row per row of ``pages``: id, ``url``, ``text`` and ``n_chars`` (code points).
 
-    Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are left out by what they are. Where a page marks
-    its article or main part, the rest is left out too. Then subtrees that recur over ``least_pages`` or more pages of a host with
-    different texts in all are deleted as its template, counted over all pages, inside and outside of marked parts: in a page without a
-    marked part any subtree, else the whole part (such as a teaser beside the article, unless the page has nothing else). A subtree
-    inside a marked part goes if it recurs over ``least_inside`` or more of them and over ``share_inside`` or more of all the host's
-    different texts, because copied articles and passages that some of them share are content. Character references are decoded; white space in a block becomes one space; blocks are joined by one space.
+    All subtrees of all pages are counted per host, by the number of different texts (of whole pages) around them: in menus, in marked main
+    parts and outside. One is template, and its blocks go, if it recurs over ``least_pages`` or more - inside a part that its page
+    marks as article or main, ``least_inside`` - and either on ``share`` of the host's texts, or (inside, on ``share_placed`` of them) always in the
+    same place beside different articles: its number among its siblings, from the first or the last, has a variance of at most ``stray``, and the
+    blocks beside it (``_companions``) are different on ``differ`` of its pages. Copied articles have like companions, and passages that articles share
+    have no fixed place, so both are content. What is no template is judged by kind: menus, headers, footers, sidebars, notices,
+    adverts, forms, scripts, styles and comments go, and what lies beside a marked main part. First-order headings have no fixed place. ``counts`` and ``rules`` switch either half off.
+
+    Character references are decoded; white space in a block (as Unicode has it) becomes one space; blocks are joined by one space.
     Null html is empty, a null url has the empty host; repeated rows count as one page for templates and are returned as often as
-    they come; null ids stay; no rows give no rows; other columns are not read.
+    they come; null ids stay; no rows give no rows; other columns are not read. Pages are read in time linear in their length, twice.
     """
-    text = lambda bs: F.array_join(F.transform(bs, lambda b: b["text"]), " ")
-    found = written(page_blocks(pages, id_col, url_col, html_col).withColumn("_row", F.monotonically_increasing_id()).withColumn("_page", F.xxhash64(text(F.col("blocks")))), "blocks")
-    hashes = lambda name: F.flatten(F.transform("blocks", lambda b: b[name]))
-    seen = found.select("_row", "host", "_page", F.explode(F.array_distinct(F.concat(hashes("hashes"), hashes("inner"), "beside"))).alias("hash"))
-    texts = found.select("host", "_page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    counted = seen.select("host", "hash", "_page").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(least_pages, least_inside))
-    template = counted.join(texts, "host").select("host", "hash", (F.col("n") >= least_pages).alias("_outer"), ((F.col("n") >= least_inside) & (F.col("n") >= F.col("texts") * share_inside)).alias("_inner")).where("_outer OR _inner")
-    # written, so that its size is known when the join is planned: the texts are only moved if many pages hold templates
-    hits = written(seen.join(template, ["host", "hash"]).groupBy("_row").agg(*[F.collect_set(F.when(F.col(f"_{name}"), F.col("hash"))).alias(name) for name in ("outer", "inner")]), "templates")
-    left = F.filter("blocks", lambda b: ~F.arrays_overlap(b["hashes"], F.col("outer")) & ~F.arrays_overlap(b["inner"], F.col("inner")))
-    kept = F.when(F.col("outer").isNull() | (F.col("marked") & (F.size(left) == 0)), F.col("blocks")).otherwise(left)
-    return found.join(hits, "_row", "left").select(id_col, "url", text(kept).alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
+    kept = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), _key(F.col(url_col), F.col(html_col)).alias("key"))
+    if counts:
+        subtrees = written(page_subtrees(kept.select("key", "url", "html")), "subtrees")
+        # written, so that its size is known when the join is planned: the pages are only moved if many hold templates
+        found = written(templates(subtrees, least_pages, least_inside, share, share_placed, differ, stray), "templates")
+        kept = kept.join(found, "key", "left")
+    else:
+        kept = kept.withColumn("template", F.lit(None).cast("array<bigint>"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [text_of(html.as_py() or "", set(template.as_py() or ()), rules) for html, template in zip(batch.column(2), batch.column(3))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[id_col, "url", "text", "n_chars"])
+
+    return map_arrow(kept.select("_id", "url", "html", "template"), run, f"`{id_col}` {dict(pages.dtypes)[id_col]}, url string, text string, n_chars bigint")

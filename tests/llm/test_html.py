@@ -86,3 +86,89 @@ def test_repeated_rows_and_null_ids(spark):
     rows = [(None, "http://a/", "<p>x</p>", "", 1, "", ""), (1, "http://a/", "<p>y</p>", "", 1, "", ""), (1, "http://a/", "<p>y</p>", "", 1, "", "")]
     got = html.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((str(r["page_id"]), r["text"]) for r in got) == [("1", "y"), ("1", "y"), ("None", "x")]
+
+
+def brute_templates(pages, least_pages=5, least_inside=20, share=0.5, share_placed=0.2, differ=0.5, stray=0.25):
+    """For each page the hashes of its template subtrees, counted with dictionaries."""
+    from statistics import pvariance
+
+    from gridweave.llm.html import _companions, blocks, host_of, parse
+
+    seen, texts = {}, {}
+    for url, page in pages:
+        found, subtrees = blocks(parse(page))
+        text, host = " ".join(b.text for b in found), host_of(url)
+        texts.setdefault(host, set()).add(text)
+        for s, beside in zip(subtrees, _companions(found, subtrees).tolist() if subtrees else []):
+            seen.setdefault((host, s.hash, s.inside), {}).setdefault(text, (s.head, s.tail, beside))
+    out = set()
+    for (host, own, inside), where in seen.items():
+        n, all_texts = len(where), len(texts[host])
+        places = [[w[k] for w in where.values() if w[k] is not None] for k in (0, 1)]
+        fixed = any(p and pvariance(p) <= stray for p in places)
+        others = sorted(len({w[2][k] for w in where.values()}) for k in range(3))[1]
+        if n >= (least_inside if inside else least_pages) and (n >= share * all_texts or n >= (share_placed if inside else 0) * all_texts and fixed and others >= differ * n):
+            out.add((host, own))
+    return out
+
+
+def site(rng, host, n, unique):
+    """Pages without telling tags or classes: a head, some boxes at fixed places, an article that may hold shared passages at any place."""
+    words = [f"w{i}" for i in range(400)]
+    say = lambda k: " ".join(rng.choices(words, k=k))
+    head, foot, box, passages = say(5), say(12), say(8), [say(20) for _ in range(3)]
+    out = []
+    for i in range(n):
+        paragraphs = [say(unique) for _ in range(rng.randint(3, 6))]
+        if rng.random() < 0.4:
+            paragraphs.insert(rng.randrange(len(paragraphs)), rng.choice(passages))
+        body = "".join(f"<p>{p}</p>" for p in paragraphs) + (f"<div><p>{box}</p></div>" if i % 3 else "")
+        body = f"<article>{body}</article>" if host.startswith("marked") else f"<div>{body}</div>"
+        out.append((f"http://{host}/{i}", f"<body><div><p>{head}</p><p>by</p></div>{body}<div>{foot}</div></body>", " ".join(paragraphs)))
+    return out
+
+
+def test_templates_are_those_of_a_brute_force_count(spark):
+    import random
+
+    rng = random.Random(3)
+    pages = site(rng, "plain.example", 40, 25) + site(rng, "marked.example", 40, 25) + site(rng, "small.example", 4, 25) + site(rng, "marked-small.example", 12, 25)
+    template = brute_templates([p[:2] for p in pages])
+    want = {i: html.text_of(page, {html._signed(h) for host, h in template if host == html.host_of(url)}) for i, (url, page, _) in enumerate(pages)}
+    got = {i: t for i, (_, t, _) in extract(spark, [p[:2] for p in pages]).items()}
+    assert got == want
+    # the counts alone find the article on hosts with enough pages, whatever its tags; without them boxes and frames stay
+    alone = extract(spark, [p[:2] for p in pages], rules=False)
+    assert all(alone[i][1] == pages[i][2] == got[i] for i in range(80))
+    without = extract(spark, [p[:2] for p in pages], counts=False)
+    assert sum(without[i][1] != pages[i][2] for i in range(80)) > 60
+
+
+def test_near_copies_of_an_article_are_no_template(spark):
+    import random
+
+    rng = random.Random(4)
+    words = [[f"v{rng.randrange(9999)}" for _ in range(60)] for _ in range(8)]
+    pages = []
+    for i in range(30):
+        copy = [[f"x{rng.randrange(9999)}" if rng.random() < 0.01 else w for w in p] for p in words]
+        pages.append((f"http://a.example/{i}", "<body>" + "".join(f"<p>{' '.join(p)}</p>" for p in copy) + "</body>"))
+    others = [(f"http://a.example/o{i}", f"<body><p>{' '.join(f'o{rng.randrange(9999)}' for _ in range(90))}</p><p>own {i}</p></body>") for i in range(40)]
+    got = extract(spark, pages + others)
+    assert all(got[i][2] > 2000 for i in range(30))
+
+
+def test_hostile_pages_take_time_in_proportion():
+    import time
+
+    n = 300_000
+    pages = ["<a " * (n // 3), "<a '" * (n // 4), '<a b="' * (n // 6), "<!--" * (n // 4), "<div>x" * (n // 6), "<div>" * 20_000 + "</x>" * 50_000, "<p><button>" + "<b>" * 40_000 + "<hr>" * 40_000]
+    pages += ["<b>" * 40_000 + "<li>x</li>" * 15_000, "<a " + "b" * n + ">x", "<a " + "= " * (n // 2) + ">x", "<" * n, "<tr><td>x" * (n // 9), "<h1>" * (n // 4)]
+    for page in pages:
+        began = time.process_time()
+        html.text_of(page, set())
+        assert time.process_time() - began < 6, page[:20]
+
+
+def test_references_of_many_digits():
+    assert html.text_of(f"<p>a&#{'9' * 5000};b &#{'0' * 5000}65; &#x{'0' * 50}41;", set()) == "a�b A A"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -320,61 +320,70 @@ def _key(url: Column, html: Column) -> Column:
     return F.struct(F.xxhash64(url, html).alias("a"), F.xxhash64(html, F.lit(1), url).alias("b"))
 
 
-_SUBTREE = pa.struct([("hash", pa.int64()), ("head", pa.int32()), ("tail", pa.int32()), ("inside", pa.bool_()), ("beside", pa.list_(pa.int64()))])
+_SUBTREE = pa.struct([("k", pa.int64()), ("head", pa.int32()), ("tail", pa.int32()), ("inside", pa.bool_()), ("beside", pa.list_(pa.int64()))])
 
 
 def _signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
+def number_of(host: str, subtree: Subtree) -> int:
+    """The number under which a host's subtree is counted."""
+    return _signed(_hash(f"{subtree.hash}|{subtree.inside}|{host}"))
+
+
 def page_subtrees(pages: DataFrame) -> DataFrame:
-    """Of ``pages`` (``key``, ``url``, ``html``): ``key``, ``host``, ``page`` (hash of all its text) and ``subtrees``, each hash once in a page."""
+    """Of ``pages`` (``key``, ``url``, ``html``): ``key``, ``host``, ``page`` (hash of all its text) and ``subtrees``, each number once in a page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, texts = [], []
-            for html in batch.column(2):
+            hosts = [host_of(u) for u in batch.column(1).to_pylist()]
+            for host, html in zip(hosts, batch.column(2)):
                 found, subtrees = blocks(parse(html.as_py() or ""))
-                subtrees = list({s.hash: s for s in reversed(subtrees)}.values())
+                subtrees = list({(s.hash, s.inside): s for s in reversed(subtrees)}.values())
                 texts.append(_signed(_hash("\n".join(b.text for b in found))))
                 beside = _companions(found, subtrees).tolist() if subtrees else []
-                rows.append([{"hash": _signed(s.hash), "head": s.head, "tail": s.tail, "inside": s.inside, "beside": b} for s, b in zip(subtrees, beside)])
-            hosts = [host_of(u) for u in batch.column(1).to_pylist()]
+                rows.append([{"k": number_of(host, s), "head": s.head, "tail": s.tail, "inside": s.inside, "beside": b} for s, b in zip(subtrees, beside)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hosts, pa.string()), pa.array(texts, pa.int64()), pa.array(rows, pa.list_(_SUBTREE))], names=["key", "host", "page", "subtrees"])
 
-    return map_arrow(pages, run, "key struct<a:bigint,b:bigint>, host string, page bigint, subtrees array<struct<hash:bigint,head:int,tail:int,inside:boolean,beside:array<bigint>>>")
+    return map_arrow(pages, run, "key struct<a:bigint,b:bigint>, host string, page bigint, subtrees array<struct<k:bigint,head:int,tail:int,inside:boolean,beside:array<bigint>>>")
 
 
 def templates(subtrees: DataFrame, least_pages: int, least_inside: int, share: float, share_placed: float, differ: float, stray: float) -> DataFrame:
-    """Keys of pages and the hashes of those of their subtrees that are template of their host, from ``page_subtrees``."""
-    each = subtrees.select("key", "host", "page", F.explode("subtrees").alias("s")).select(
-        "key", "host", "page", "s.hash", "s.head", "s.tail", "s.beside", "s.inside", F.xxhash64("host", "s.hash", "s.inside").alias("k"), F.when(F.col("s.inside"), least_inside).otherwise(least_pages).alias("least")
-    )
+    """The numbers ``k`` of those subtrees that are template of their host, from ``page_subtrees``."""
+    each = subtrees.select("host", "page", F.explode("subtrees").alias("s")).select("host", "page", "s.*")
     # pages with equal text count once; counts are added up before the shuffle by subtree, so a host of any size is no hot key
-    often = each.select("k", "page", "least").distinct().groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.first("least").alias("least")).where("n >= least").select("k", "n")
-    often = written(often, "recurring")
+    often = each.select("k", "page", "inside").distinct().groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.first("inside").alias("inside"))
+    often = written(often.where(F.col("n") >= F.when(F.col("inside"), least_inside).otherwise(least_pages)).select("k", "n"), "recurring")
     texts = subtrees.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    where = written(each.join(often, "k").select("key", "host", "page", "hash", "k", "n", "inside", "head", "tail", "beside"), "places")
-    other = [F.approx_count_distinct(F.col("beside")[i]) for i in range(3)]
     judged = (
-        where.dropDuplicates(["k", "page"])
+        each.join(often, "k")
+        .groupBy("k", "page", "n", "host", "inside")
+        .agg(F.min(F.struct("head", "tail", "beside")).alias("s"))
         .groupBy("k", "n", "host", "inside")
-        .agg(F.least(F.var_pop("head"), F.var_pop("tail")).alias("stray"), F.sort_array(F.array(*other))[1].alias("others"))
+        .agg(F.least(F.var_pop("s.head"), F.var_pop("s.tail")).alias("stray"), F.sort_array(F.array(*[F.approx_count_distinct(F.col("s.beside")[i]) for i in range(3)]))[1].alias("others"))
         .join(texts, "host")
-        .where((F.col("n") >= F.col("texts") * share) | (F.col("n") >= F.col("texts") * F.when(F.col("inside"), share_placed).otherwise(0.0)) & (F.col("stray") <= stray) & (F.col("others") >= F.col("n") * differ))
     )
-    return where.join(judged.select("k"), "k", "left_semi").groupBy("key").agg(F.collect_set("hash").alias("template"))
+    placed = (F.col("n") >= F.col("texts") * F.when(F.col("inside"), share_placed).otherwise(0.0)) & (F.col("stray") <= stray) & (F.col("others") >= F.col("n") * differ)
+    return judged.where((F.col("n") >= F.col("texts") * share) | placed).select("k")
+
+
+def among(numbers: list[int], held: np.ndarray) -> np.ndarray:
+    """Which numbers are in a sorted array."""
+    wanted = np.array(numbers, np.int64)
+    return held[np.minimum(np.searchsorted(held, wanted), len(held) - 1)] == wanted if len(held) else np.zeros(len(wanted), bool)
 
 
-def text_of(html: str, template: set[int], rules: bool = True) -> str:
-    """Text of a page without the blocks that template subtrees cover and, with ``rules``, those outside its main part or left out by kind.
+def text_of(html: str, host: str, template: Callable[[list[int]], Iterable[bool]], rules: bool = True) -> str:
+    """Text of a page of ``host`` without the blocks of subtrees whose numbers are ``template`` and, with ``rules``, those outside its main part or left out by kind.
 
     If templates leave a marked part nothing, the rest of the page is taken, and if they leave that nothing either, only the rules decide.
     """
     found, subtrees = blocks(parse(html))
     covered = np.zeros(len(found) + 1, np.int64)
-    for s in subtrees:
-        if _signed(s.hash) in template:
+    for s, hit in zip(subtrees, template([number_of(host, s) for s in subtrees])):
+        if hit:
             covered[s.first] += 1
             covered[s.end] -= 1
     gone = np.cumsum(covered) > 0
@@ -387,7 +396,7 @@ def text_of(html: str, template: set[int], rules: bool = True) -> str:
 
 
 def main_text(
-    pages: DataFrame, least_pages: int = 5, least_inside: int = 20, share: float = 0.5, share_placed: float = 0.2, differ: float = 0.5, stray: float = 0.25, counts: bool = True, rules: bool = True, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+    pages: DataFrame, least_pages: int = 5, least_inside: int = 20, share: float = 0.5, share_placed: float = 0.2, differ: float = 0.5, stray: float = 0.25, counts: bool = True, rules: bool = True, most_held: int = 1_000_000, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
     """One row per row of ``pages``: id, ``url``, ``text`` and ``n_chars`` (code points).
 
@@ -402,19 +411,25 @@ def main_text(
     Character references are decoded; white space in a block (as Unicode has it) becomes one space; blocks are joined by one space.
     Null html is empty, a null url has the empty host; repeated rows count as one page for templates and are returned as often as
     they come; null ids stay; no rows give no rows; other columns are not read. Pages are read in time linear in their length, twice.
+    Up to ``most_held`` template numbers (8 bytes each) are held by every task; more are joined to the pages instead, with the same result.
     """
     kept = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), _key(F.col(url_col), F.col(html_col)).alias("key"))
+    known, own = np.zeros(0, np.int64), F.lit(None).cast("array<bigint>")
     if counts:
         subtrees = written(page_subtrees(kept.select("key", "url", "html")), "subtrees")
-        # written, so that its size is known when the join is planned: the pages are only moved if many hold templates
-        found = written(templates(subtrees, least_pages, least_inside, share, share_placed, differ, stray), "templates")
-        kept = kept.join(found, "key", "left")
-    else:
-        kept = kept.withColumn("template", F.lit(None).cast("array<bigint>"))
+        template = written(templates(subtrees, least_pages, least_inside, share, share_placed, differ, stray), "templates")
+        if template.count() <= most_held:
+            known = np.sort(np.array([r["k"] for r in template.collect()], np.int64))
+        else:
+            each = subtrees.select("key", F.explode(F.transform("subtrees", lambda s: s["k"])).alias("k"))
+            kept, own = kept.join(each.join(template, "k", "left_semi").groupBy("key").agg(F.collect_set("k").alias("own")), "key", "left"), F.col("own")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text_of(html.as_py() or "", set(template.as_py() or ()), rules) for html, template in zip(batch.column(2), batch.column(3))]
+            texts = []
+            for url, html, numbers in zip(batch.column(1), batch.column(2), batch.column(3)):
+                held = known if numbers.as_py() is None else np.sort(np.array(numbers.as_py(), np.int64))
+                texts.append(text_of(html.as_py() or "", host_of(url.as_py()), lambda ks, held=held: among(ks, held), rules))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[id_col, "url", "text", "n_chars"])
 
-    return map_arrow(kept.select("_id", "url", "html", "template"), run, f"`{id_col}` {dict(pages.dtypes)[id_col]}, url string, text string, n_chars bigint")
+    return map_arrow(kept.select("_id", "url", "html", own.alias("own")), run, f"`{id_col}` {dict(pages.dtypes)[id_col]}, url string, text string, n_chars bigint")

@@ -288,3 +288,29 @@ def test_writers(spark, tmp_path):
     assert {r["path"][-5:]: r["tiff"] for r in files.is_tiff(spark, str(tmp_path / "*.tif")).collect()} == {"t.tif": True, "u.tif": False}
     edits = spark.createDataFrame([('{"a":{"name":"n"},"b":{"removed":true}}',)], "t string")
     assert sorted(map(tuple, files.backup_edits(edits, "t").collect()), key=str) == [("a", "n", None), ("b", None, True)]
+
+
+def test_components_with_hubs(spark):
+    """Nodes with many edges are broadcast, others joined: the same components either way, for stars, chains and random graphs."""
+    import random
+
+    from gridweave.operators.graph import connected_components
+
+    rng = random.Random(4)
+    pairs = [(0, n) for n in range(1, 60)] + [(500 - n, 500) for n in range(40)] + [(n, n + 1) for n in range(600, 660)]
+    pairs += [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(60)] + [(7, 480), (3, 3), (None, 4)]
+    top = {}
+
+    def find(n):
+        while top.setdefault(n, n) != n:
+            n = top[n]
+        return n
+
+    for a, b in pairs:
+        if a is not None and a != b:
+            low, high = sorted((find(a), find(b)))
+            top[high] = low
+    want = {n: find(n) for n in top}
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    for heavy in (0, 5, 1000):
+        assert {r["node"]: r["component"] for r in connected_components(edges, heavy=heavy).collect()} == want

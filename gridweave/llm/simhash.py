@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.llm.common import candidate_blocks, fresh, member_lists, spanning_forest
@@ -43,15 +43,22 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
     return int(bits.view("<u8")[0])
 
 
+def _text_key(text_col: str) -> list[Column]:
+    """128 bits of a text, by which rows that share an id are told apart without moving their texts; a null text has a key of its own."""
+    text = F.col(text_col)
+    return [F.xxhash64(text).alias("ka"), F.xxhash64(F.lit(1), text, text.isNull()).alias("kb")]
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42) -> DataFrame:
-    """One row per row of ``docs``: the id and ``fp``, the fingerprint as a signed 64-bit integer. Null text counts as empty."""
-    kept = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
-    schema = f"`{id_col}` {dict(kept.dtypes)[id_col]}, fp bigint"
+    """One row per row of ``docs``: the id, ``fp``, the fingerprint as a signed 64-bit integer, and ``ka`` and ``kb`` (``_text_key``).
+    Null text counts as empty."""
+    kept = docs.select(F.col(text_col).alias("_text"), F.col(id_col), *_text_key(text_col))
+    schema = f"`{id_col}` {dict(kept.dtypes)[id_col]}, ka bigint, kb bigint, fp bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t, width, seed) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=[id_col, "fp"])
+            values = np.array([fingerprint(t.as_py(), width, seed) for t in batch.column(0)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(values.view(np.int64))], names=[id_col, "ka", "kb", "fp"])
 
     return map_arrow(kept, run, schema)
 
@@ -68,7 +75,7 @@ def block_masks(distance: int, blocks: int) -> list[int]:
 def close_pairs(prints: DataFrame, distance: int = 4, blocks: int = 6, block_rows: int = 1024) -> DataFrame:
     """Tree edges ``a``, ``b`` between ids of distinct fingerprints (columns ``id``, ``fp``) within ``distance`` bits.
 
-    Distance 4 over 6 blocks leaves two whole blocks in common, so a row goes to 15 buckets of 21 bits. Buckets are
+    Distance 4 over 6 blocks leaves two whole blocks in common, so a row goes to 15 buckets of 21 bits (``blocks_for``). Buckets are
     compared in bounded pairs of chunks; of each, only a spanning forest of its links is emitted, which has the same
     components as all links and never more rows than members.
     """
@@ -102,24 +109,51 @@ def close_pairs(prints: DataFrame, distance: int = 4, blocks: int = 6, block_row
     return map_arrow(groups.select("members"), run, "a bigint, b bigint")
 
 
-def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42, distance: int = 4, blocks: int = 6) -> DataFrame:
-    """One row per row of ``docs``: the id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id reachable by links.
+def blocks_for(prints: int, distance: int = 4) -> int:
+    """Number of blocks for so many different prints: enough key bits that a bucket holds few of them, at the price of more keys a row.
 
-    Equal fingerprints are one node, so groups of copies cost one row; nothing is dropped or capped. Null and empty texts have
-    fingerprint zero and link with each other like any other. A null id gets the component of its fingerprint, or null
-    if no row of that fingerprint has an id. Repeated rows are returned as often as they come. No rows give no rows.
-    Other columns of ``docs`` are ignored.
+    At distance 4, 5 blocks give 5 keys of 13 bits, 6 give 15 of 21 and 8 give 70 of 32. With a key row as dear as some 50
+    comparisons, these cost least up to about 2^20, up to about 2^28 and beyond. All find the same pairs.
     """
+    return distance + (1 if prints <= 1 << 20 else 2 if prints <= 1 << 28 else 4)
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, width: int, seed: int, distance: int, blocks: int | None) -> DataFrame:
+    """``fingerprints`` of ``docs`` with ``component_id``."""
     prints = written(fingerprints(docs, id_col, text_col, width, seed), "prints")
     nodes = written(prints.groupBy("fp").agg(F.min(id_col).alias("id")), "nodes")
-    reach = connected_components(close_pairs(nodes.where("id IS NOT NULL"), distance, blocks))
+    reach = connected_components(close_pairs(nodes.where("id IS NOT NULL"), distance, blocks or blocks_for(nodes.count(), distance)))
     named = nodes.join(reach, F.col("id") == F.col("node"), "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return prints.join(named, "fp").select(F.col(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(named, "fp")
+
 
+def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42, distance: int = 4, blocks: int | None = None) -> DataFrame:
+    """One row per row of ``docs``: the id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id reachable by links.
+
+    Equal fingerprints are one node, so groups of copies cost one row; nothing is dropped or capped. ``blocks`` is ``blocks_for`` the
+    number of different fingerprints where it is not given. Null and empty texts have fingerprint zero and link with each other
+    like any other. A null id gets the component of its fingerprint, or null if no row of that fingerprint has an id. Repeated
+    rows are returned as often as they come. No rows give no rows. Other columns of ``docs`` are ignored.
+    """
+    return _named(docs, id_col, text_col, width, seed, distance, blocks).select(F.col(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` less those whose component has a smaller id; repeated rows stay once, null ids stay."""
-    name = fresh(docs, "gone")
-    gone = simhash_components(docs, id_col, text_col, **options).where(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias(name)).distinct()
-    known = docs.where(F.col(id_col).isNotNull()).join(gone, F.col(id_col) == F.col(name), "left_anti").dropDuplicates([id_col, text_col])
-    return known.unionByName(docs.where(F.col(id_col).isNull()))
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42, distance: int = 4, blocks: int | None = None) -> DataFrame:
+    """One row of ``docs`` for each component of ``simhash_components``, with all its columns: one with the smallest id, once.
+
+    Of rows with equal ids but different texts each belongs to the component of its own text; if such rows share a component and its smallest
+    id, one of them stays (the smallest by ``_text_key``). Rows with equal id and text count as repeated and stay once, whatever
+    their other columns say. Null ids are never compared away: their rows all stay. Null and empty texts are near copies of each other.
+    No rows give no rows. What goes is decided on ids and hashes; the texts are joined with that and moved no further.
+    """
+    ka, kb, judged = (fresh(docs, name) for name in ("ka", "kb", "judged"))
+    rows = written(_named(docs, id_col, text_col, width, seed, distance, blocks).where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"), "ka", "kb", "component_id").agg(F.count(F.lit(1)).alias("n")), "rows")
+    first = rows.where("id = component_id").groupBy("id").agg(F.min(F.struct("ka", "kb")).alias("first"), F.count(F.lit(1)).alias("texts")).where("texts > 1").select("id", "first")
+    others = rows.where("id = component_id").join(first, "id").where("ka != first.ka OR kb != first.kb")
+    gone = rows.where("id != component_id").select("id", "ka", "kb").unionByName(others.select("id", "ka", "kb"))
+    twice = rows.where("id = component_id AND n > 1").select("id", "ka", "kb").join(gone, ["id", "ka", "kb"], "left_anti")
+    known = written(gone.withColumn("copies", F.lit(False)).unionByName(twice.withColumn("copies", F.lit(True))), "judged").select(F.col("id").alias(judged), F.col("ka").alias(ka), F.col("kb").alias(kb), F.col("copies").alias(fresh(docs, "copies")))
+    copies = known.columns[-1]
+    text_a, text_b = _text_key(text_col)
+    joined = docs.join(known, (F.col(id_col) == F.col(judged)) & (text_a == F.col(ka)) & (text_b == F.col(kb)), "left")
+    return joined.where(F.col(copies).isNull()).select(*docs.columns).unionByName(joined.where(F.col(copies)).dropDuplicates([judged, ka, kb]).select(*docs.columns))

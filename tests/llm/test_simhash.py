@@ -106,3 +106,21 @@ def test_one_of_each_group_stays(spark):
 def test_very_long_text():
     text = " ".join(str(i % 977) for i in range(200_000))
     assert simhash.fingerprint(text) == simhash.fingerprint(text + " ") != 0
+
+
+def test_rows_that_share_an_id_go_by_their_own_text(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    near = a.replace("a59", "z")
+    rows = [(1, a, "x", "y"), (5, a, "x", "y"), (5, b, "x", "y"), (5, b, "x", "z"), (7, b, None, None), (8, None, "", ""), (8, "", "", ""), (9, " ", "", ""), (None, a, "", ""), (None, a, "", "")]
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((str(r["doc_id"]), (r["text"] or "")[:1]) for r in kept) == [("1", "a"), ("5", "b"), ("8", ""), ("None", "a"), ("None", "a")]
+    assert simhash.fingerprint(near) != simhash.fingerprint(a)
+
+
+@pytest.mark.parametrize("blocks", [5, 6, 8])
+def test_any_number_of_blocks_finds_the_same(spark, blocks):
+    rows = corpus(5, 30)
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in rows], SCHEMA)
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.simhash_components(docs, blocks=blocks).collect()}
+    assert got == brute_components(rows)
+    assert [simhash.blocks_for(n) for n in (0, 10**6, 10**8, 10**10)] == [5, 5, 6, 8]

@@ -45,7 +45,7 @@ def base_spans(text: str) -> list[Span]:
     """Spans (kind, start, end) in code points of the four pattern kinds, by kind and then start."""
     out = list(emails(text))
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (part.lstrip("0") for part in m.group().split("."))):
             out.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         digits = m.group().replace(" ", "").replace("-", "")
@@ -92,7 +92,7 @@ def find(texts: list[str | None], model: crf.Model) -> list[tuple[list[Span], li
     """For each text its pattern spans and the spans that the random field adds."""
     texts = [t or "" for t in texts]
     tokens = [crf.candidates(t) for t in texts]
-    base = [base_spans(t) if k else [] for t, k in zip(texts, tokens)]  # every kind has a digit or an at sign
+    base = [base_spans(t) if k else [] for t, k in zip(texts, tokens)]  # every kind has a digit or an at sign, and so a candidate
     return [(b, method_spans(t, k, y, b)) for t, k, y, b in zip(texts, tokens, crf.decode(model, tokens), base)]
 
 

@@ -48,6 +48,50 @@ def test_repetition_carries_a_label_over():
     assert [named[a:b] for k, a, b in more if k == "secret"] == ["kX7pQ9mB2a"] * 3 and none == []
 
 
+def test_texts_written_by_hand():
+    """Not made by the generator: what is found beyond the patterns, kind by kind."""
+    told = {
+        "call 555-123-4567 now": [("phone", "555-123-4567")],
+        "my key=abcD1234efgh5 works": [("secret", "abcD1234efgh5")],
+        "password = hunterdragon, and again hunterdragon": [("secret", "hunterdragon")] * 2,
+        "pin 4821, not 2024: 4821": [("secret", "4821")] * 2,
+        "Telefon 030/1234567, abends": [("phone", "030/1234567")],
+        "tel 5551234 or 5551234": [("phone", "5551234")] * 2,
+        "Passwort: geheim99x steht da, geheim99x": [("secret", "geheim99x")] * 2,
+        "contraseña: tormenta1 y tormenta1": [("secret", "tormenta1")] * 2,
+        "mail admin@localhost and admin@localhost": [("email", "admin@localhost")] * 2,
+        "the key: patience. The secret: nothing": [],
+        "isbn 978-3-16-148410-0, pages 12-34, 3.5 stars": [],
+        "see https://example.com:8080/a?key=1 or part 12B": [],
+        "commit 9f86d081884c7d659a2feaa0c55ad015a3bf4f1b of 2023-11-05": [],
+    }
+    for text, want in told.items():
+        ((base, more),) = pii.find([text], crf.train())
+        assert [(k, text[a:b]) for k, a, b in more] == want and base == [], text
+
+
+def test_codes_that_are_mentioned_often_are_no_secrets():
+    far = " ".join(["words"] * 9)
+    for code in ("RTX4090Super", "GPT4Turbo128k", "BX200-77A9", "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "Win11Pro23H2", "SKU4471XZ"):
+        for times in (1, 2, 3, 5, 10, 50):
+            text = " ".join(f"{far} {code}," for _ in range(times))
+            assert pii.find([text], crf.train()) == [([], [])], (code, times)
+    for times in (1, 30, 200):
+        text = "password : kX7pQ9mB2a " + " ".join(f"{far} kX7pQ9mB2a" for _ in range(times))
+        assert len(pii.find([text], crf.train())[0][1]) == times + 1
+
+
+def test_numbers_of_many_digits():
+    text = "1.2.3." + "0" * 5000 + "1 and " + "²" * 16 + " 4" + "0" * 5000 + ".1.1.1"
+    assert pii.base_spans(text) == [("ip", 0, 5007)]
+    pii.find([text, "9" * 200_000 + "x", "a@" + ".b" * 50_000 + "@", "=1" * 50_000, "key=" * 50_000], crf.train())
+
+
+def test_graphs_of_bounded_size_give_the_same():
+    tokens = [crf.candidates(text) for text, _ in crf.sentences(60, 5)]
+    assert crf.decode(crf.train(), tokens, most=30) == crf.decode(crf.train(), tokens)
+
+
 def test_clean_texts_are_left_alone():
     clean = ["In 2024, on 2024-03-01 at 12:30, 7 of 9 saw 3.5 or 1,200 things.", "version 1.2.3 of part4 costs 19.99", "", None, "no numbers at all", "9807915762804490 is no card"]
     assert all(base == [] and more == [] for base, more in pii.find(clean, crf.train()))

@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridweave.llm import mixing, packing, pii, quality, simhash
-from gridweave.llm.queries import FERTILITY_VOCABULARY, PACKING_VOCABULARY
+from gridweave.llm.queries import FERTILITY_VOCABULARIES, PACKING_VOCABULARY
 from gridweave.sources.scratch import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that pass the word counts and lie in the fertility band of their language; the others go."""
-    return quality.keep_good(docs, FERTILITY_VOCABULARY)
+    return quality.keep_good(docs, FERTILITY_VOCABULARIES)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from gridweave.llm import chat, html, lattice, mixing, packing, pii, quality, si
 
 #: Paths of the public vocabularies; operators take them as parameters.
 PACKING_VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
-FERTILITY_VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+FERTILITY_VOCABULARIES = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pack all documents into sequences of 2048 tokens."""
+    """Pack all documents into sequences of 2048 tokens.
+
+    The rank file is the same vocabulary as the JSON file, and strings of special tokens in a text are ordinary text, as the vocabularies'
+    own notes recommend; the JSON file's library alone would give ``<|endoftext|>`` the id 50256.
+    """
     return packing.packed(table(spark, sf_dir, "documents"), PACKING_VOCABULARY)
 
 
@@ -52,7 +56,7 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts and fertility of all documents."""
-    return quality.quality_figures(table(spark, sf_dir, "documents"), FERTILITY_VOCABULARY)
+    return quality.quality_figures(table(spark, sf_dir, "documents"), FERTILITY_VOCABULARIES)
 
 
 def op8_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

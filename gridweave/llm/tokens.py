@@ -1,4 +1,4 @@
-"""Byte-level vocabularies read from public files; one encoder per worker process and file."""
+"""Public vocabularies: rank files of byte-level ones, and models of pieces with byte fallback; one encoder per worker process and file."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import base64
 from functools import lru_cache
 
 import numpy as np
+import sentencepiece
 import tiktoken
 
 #: Split pattern of the byte-level vocabularies (fixed value, published with them).
@@ -26,9 +27,17 @@ def encoder(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(name=path, pat_str=PATTERN, mergeable_ranks=ranks(path), special_tokens={})
 
 
+@lru_cache(maxsize=8)
+def piece_model(path: str) -> sentencepiece.SentencePieceProcessor:
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
 @lru_cache(maxsize=8)
 def raw_bytes(path: str) -> np.ndarray:
-    """For each id, whether it is a single byte of a longer character: what a text falls back to when it has no token."""
+    """For each id, whether it is a single byte of a longer character: what a text falls back to when the vocabulary has no token."""
+    if path.endswith(".model"):
+        model = piece_model(path)
+        return np.array([model.is_byte(i) and int(model.id_to_piece(i)[1:-1], 16) >= 0x80 for i in range(model.get_piece_size())], bool)
     table = ranks(path)
     out = np.zeros(max(table.values(), default=0) + 1, bool)
     for token, number in table.items():
@@ -54,5 +63,7 @@ def encode(text: str, path: str) -> np.ndarray:
     """Ids of a whole text as unsigned 32-bit integers; strings of special tokens are ordinary text."""
     if not text:
         return np.zeros(0, np.uint32)
+    if path.endswith(".model"):
+        return np.concatenate([np.array(piece_model(path).encode(part.encode("utf-8", "replace")), np.uint32) for part in spans(text)])
     parts = [encoder(path).encode_to_numpy(part, allowed_special=set(), disallowed_special=()) for part in spans(text)]
     return parts[0] if len(parts) == 1 else np.concatenate(parts)

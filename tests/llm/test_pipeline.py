@@ -12,7 +12,7 @@ from .test_packing import check
 from .test_simhash import brute_components
 
 SF = "/root/testdata/sf0.001"
-VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+VOCABULARY = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 @pytest.fixture(scope="module")

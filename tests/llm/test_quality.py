@@ -5,7 +5,7 @@ import public_tokenizers
 
 from gridweave.llm import quality
 
-VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+VOCABULARY = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"))
 #: Natural English, for want of any other text of some length: the opening of the vocabularies' licences.
 PROSE = Path(public_tokenizers.path("LICENSES.txt")).read_text(encoding="utf-8")[10500:13000]
 SCHEMA = "doc_id long, text string, lang string, n_words string, kept string"
@@ -53,3 +53,30 @@ def test_rows(spark):
     mixed = spark.createDataFrame([*rows, (9, PROSE, "en", "c", "c")], SCHEMA)
     kept = quality.keep_good(mixed, VOCABULARY)
     assert kept.columns == mixed.columns and [r["doc_id"] for r in kept.collect()] == [9]
+
+
+def test_script_reads_whole_texts():
+    mixed = ("a" + "я" * 7) * 4000
+    assert quality.script(mixed) == "other" and quality.script(mixed.replace("я", "é")) == "latin" and quality.script("12 !?") == "latin" and quality.script("\ud800") == "latin"
+    # letters at every fourth place only, as a strided sample would see them
+    assert quality.script("aяяя" * 20_000) == "other"
+
+
+def test_byte_fallback_is_measured():
+    rare = " ".join("".join(chr(0x13000 + i * 7 % 900) for i in range(k, k + 3)) for k in range(80))
+    figures = [quality.fertility(rare, path) for path in VOCABULARY]
+    assert figures[1][1] > 0.7 and not quality.judge(rare, None, VOCABULARY, quality.BANDS)[6]
+    text = PROSE * 200
+    assert quality.fertility(text, VOCABULARY[1])[3] > 100_000
+
+
+def test_bands_are_fitted_on_half_and_hold_on_the_other():
+    import duckdb
+
+    rows = duckdb.sql("SELECT DISTINCT ON (doc_id) d.doc_id, text, lang, quality FROM '/root/testdata/sf0.01/documents.parquet' d JOIN '/root/testdata/sf0.01/labels.parquet' USING (doc_id) WHERE text IS NOT NULL").fetchall()
+    kept = {q: [quality.judge(t, g, VOCABULARY, quality.BANDS)[5:7] for i, t, g, own in rows if own == q and i % 2] for q in (0, 1)}
+    passing = {q: [good for failed, good in found if not failed] for q, found in kept.items()}
+    assert sum(passing[1]) >= 0.97 * len(passing[1]) and sum(passing[0]) <= 0.25 * len(passing[0])
+    made = [(g, [quality.fertility(t, path) for path in VOCABULARY]) for i, t, g, own in rows if own and not quality.judge(t, g, VOCABULARY, quality.BANDS)[5]]
+    bands, floors = quality.fit(made, most=len(made))
+    assert all(bands[g].least_chars[0] <= f[0][0] for g, f in made) and len(floors) == 2 and all(list(low) == sorted(low) for _, low in floors)

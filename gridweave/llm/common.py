@@ -28,26 +28,27 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def candidate_blocks(keyed: DataFrame, keys: list[str], spread: Column, fields: list[str], block: int = BLOCK) -> DataFrame:
+def candidate_blocks(keyed: DataFrame, keys: list[str], spread: Column, fields: list[str], block: int = BLOCK, own: str | None = None, carried: DataFrame | None = None) -> DataFrame:
     """Rows that share a bucket, as arrays of bounded length, such that each pair in a bucket meets in exactly one array.
 
-    Buckets with one row are left out. A bucket of ``n`` rows is cut into ``ceil(n / block)`` chunks by ``spread``;
-    each two chunks (and each chunk with itself) form one array, so no task ever holds more than about two chunks
-    however many rows share the bucket. Columns: the keys, ``lo``, ``hi`` (chunk numbers), ``members``
-    (array of struct of ``chunk`` and ``fields``).
+    Buckets with one row are left out, and those without a row that has ``own`` set, if that is given. A bucket of ``n`` rows is cut into
+    ``ceil(n / block)`` chunks by ``spread``; each two chunks (and each chunk with itself) form one array, so no task ever holds more
+    than about two chunks however many rows share the bucket. ``carried`` has columns that only rows in such arrays need, by ``id``.
+    Columns: the keys, ``lo``, ``hi`` (chunk numbers), ``members`` (array of struct of ``chunk`` and ``fields``).
     """
-    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(own or F.lit(True)).alias("_own")).where("_n > 1 AND _own").drop("_own")
     chunks = F.ceil(F.col("_n") / F.lit(float(block))).cast("int")
-    return (
+    dealt = (
         keyed.join(counts, keys)
         .withColumn("_k", chunks)
         .withColumn("chunk", F.pmod(spread, F.col("_k")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
         .withColumn("lo", F.least("chunk", "_other"))
         .withColumn("hi", F.greatest("chunk", "_other"))
-        .groupBy(*keys, "lo", "hi")
-        .agg(F.collect_list(F.struct("chunk", *fields)).alias("members"))
     )
+    if carried is not None:
+        dealt = dealt.join(carried, "id")
+    return dealt.groupBy(*keys, "lo", "hi").agg(F.collect_list(F.struct("chunk", *fields)).alias("members"))
 
 
 def member_lists(batch: pa.RecordBatch, column: str = "members") -> tuple[np.ndarray, pa.StructArray]:

@@ -28,6 +28,10 @@ class Lattice:
     seed: int = 42
 
 
+#: Odd multipliers that mix cell, table and group to a bucket's number.
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+
+
 @lru_cache(maxsize=1)
 def minimal_vectors() -> np.ndarray:
     """The 240 shortest vectors of E8: two entries of plus or minus one, or eight of plus or minus a half with an even number of minus signs."""
@@ -69,6 +73,14 @@ def projections(dim: int, lattice: Lattice) -> tuple[np.ndarray, np.ndarray]:
     return out, rng.integers(1, 1 << 62, 8, dtype=np.int64) * 2 + 1
 
 
+def row_products(rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """``rows @ columns``, summed up in the same order whatever other rows there are, so that a row's product is the same in any batch."""
+    out = np.zeros((len(rows), columns.shape[1]))
+    for k in range(columns.shape[0]):
+        out += rows[:, k, None] * columns[k]
+    return out
+
+
 def cells(unit: np.ndarray, lattice: Lattice) -> np.ndarray:
     """Hashes (rows x tables x (1 + probes)) of each unit vector's own cell and of the neighbouring cells nearest to it."""
     maps, odd = projections(unit.shape[1], lattice)
@@ -76,11 +88,11 @@ def cells(unit: np.ndarray, lattice: Lattice) -> np.ndarray:
     near = minimal_vectors()
     with np.errstate(over="ignore"):
         for t in range(lattice.tables):
-            x = unit @ maps[t]
+            x = row_products(unit, maps[t])
             own = nearest(x)
             out[:, t, 0] = ((2 * own).astype(np.int64) * odd).sum(1)
             if lattice.probes:
-                best = np.argpartition(-((x - own) @ near.T), lattice.probes - 1, axis=1)[:, : lattice.probes]
+                best = np.argsort(-row_products(x - own, near.T), axis=1, kind="stable")[:, : lattice.probes]
                 beside = (2 * (own[:, None, :] + near[best])).astype(np.int64)
                 out[:, t, 1:] = (beside * odd).sum(2)
     return out
@@ -99,48 +111,38 @@ def unit_rows(values: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(1))[:, None]
 
 
-def hashed(distinct: DataFrame, lattice: Lattice) -> DataFrame:
-    """Rows (``id``, ``label``, ``dim``, ``copies``, ``t``, ``cell``, ``own``, ``vector``) for each vector, table, and cell, its own or a probed one.
+def buckets(unit: np.ndarray, group: np.ndarray, lattice: Lattice) -> np.ndarray:
+    """Numbers (rows x tables x (1 + probes)) of the cells of unit vectors, by group and table."""
+    with np.errstate(over="ignore"):
+        mixed = cells(unit, lattice).view(np.uint64)
+        mixed ^= mixed >> np.uint64(31)
+        mixed = mixed * _MIX[0] + np.arange(1, lattice.tables + 1, dtype=np.uint64)[None, :, None] * _MIX[1] + (group.view(np.uint64) * _MIX[2])[:, None, None]
+        return ((mixed ^ (mixed >> np.uint64(29))) * _MIX[3]).view(np.int64)
 
-    ``vector`` holds the numbers as they came, as bytes.
-    """
-    names = ["id", "label", "dim", "copies", "t", "cell", "own", "vector"]
+
+def hashed(distinct: DataFrame, lattice: Lattice) -> DataFrame:
+    """Rows (``id``, ``bucket``, ``own``) for each vector, table, and cell, its own or a probed one; ``group`` tells label and length."""
     each = lattice.tables * (1 + lattice.probes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                column = batch.column(3)
+                column, group = batch.column(2), batch.column(1).to_numpy()
                 values, lengths = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
                 starts = np.cumsum(lengths) - lengths
                 for dim in np.unique(lengths).tolist():
                     rows = np.flatnonzero(lengths == dim)
-                    vectors = np.stack([values[starts[i] : starts[i] + dim] for i in rows])
-                    keys = cells(unit_rows(vectors), lattice)
-                    take = pa.array(np.repeat(rows, each))
-                    raw = [v.tobytes() for v in vectors]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(0).take(take),
-                            batch.column(1).take(take),
-                            pa.array(np.full(len(take), dim, np.int32)),
-                            batch.column(2).take(take),
-                            pa.array(np.tile(np.repeat(np.arange(lattice.tables, dtype=np.int32), 1 + lattice.probes), len(rows))),
-                            pa.array(keys.reshape(-1)),
-                            pa.array(np.tile(np.arange(1 + lattice.probes) == 0, len(rows) * lattice.tables)),
-                            pa.array([v for v in raw for _ in range(each)], pa.binary()),
-                        ],
-                        names=names,
-                    )
-
-    kinds = dict(distinct.dtypes)
-    return map_arrow(distinct.select("id", "label", "copies", "vector"), run, f"id bigint, label {kinds['label']}, dim int, copies bigint, t int, cell bigint, own boolean, vector binary")
-
-
-def _first_meeting(keys: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Table and cell in which two vectors count as met: the first table in which one's own cell is among the other's, and there the smaller such cell."""
-    table, cell = np.empty(len(left), np.int64), np.empty(len(left), np.int64)
+                    keys = buckets(unit_rows(np.stack([values[starts[i] : starts[i] + dim] for i in rows])), group[rows], lattice)
+                    own = np.tile(np.arange(1 + lattice.probes) == 0, len(rows) * lattice.tables)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(rows, each))), pa.array(keys.reshape(-1)), pa.array(own)], names=["id", "bucket", "own"])
+
+    return map_arrow(distinct.select("id", "group", "vector"), run, "id bigint, bucket bigint, own boolean")
+
+
+def _first_meeting(keys: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Bucket in which two vectors count as met: in the first table where one's own cell is among the other's, the smaller such cell."""
+    bucket = np.empty(len(left), np.int64)
     most = np.iinfo(np.int64).max
     for at in range(0, len(left), 20_000):
         a, b = keys[left[at : at + 20_000]], keys[right[at : at + 20_000]]
@@ -148,55 +150,68 @@ def _first_meeting(keys: np.ndarray, left: np.ndarray, right: np.ndarray) -> tup
         in_a = (b[:, :, :1] == a).any(2)
         first = (in_a | in_b).argmax(1)
         row = np.arange(len(a))
-        table[at : at + 20_000] = first
-        cell[at : at + 20_000] = np.minimum(np.where(in_b[row, first], a[row, first, 0], most), np.where(in_a[row, first], b[row, first, 0], most))
-    return table, cell
+        bucket[at : at + 20_000] = np.minimum(np.where(in_b[row, first], a[row, first, 0], most), np.where(in_a[row, first], b[row, first, 0], most))
+    return bucket
+
+
+def alike(unit: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs of rows have a cosine of ``least`` or more; those within rounding of it are summed up pair by pair, alike in any batch."""
+    cosine = unit @ unit.T
+    close = cosine >= least
+    left, right = np.nonzero(np.triu(np.abs(cosine - least) < 1e-9, 1))
+    close[left, right] = close[right, left] = np.ascontiguousarray(unit[left] * unit[right]).sum(1) >= least
+    np.fill_diagonal(close, False)
+    return close
 
 
-def links(keyed: DataFrame, lattice: Lattice, least: float, block: int, number: str) -> DataFrame:
-    """Rows ``a, b, n``: links of vector ``a`` counted in a block (``n``, with null ``b``), and tree edges between ``a`` and ``b``.
+def links(distinct: DataFrame, lattice: Lattice, least: float, block: int) -> DataFrame:
+    """Rows ``a, b, n``: links of vector ``a`` counted in a bucket (``n``, with null ``b``), and tree edges between ``a`` and ``b``.
 
-    In a block, members whose own cell it is are compared with all others by the cosine of their vectors (bytes of ``number``). Two vectors
-    may meet in several blocks; a link is counted only where ``_first_meeting`` says, so the counts add up without a table of pairs.
+    Only cells that are some vector's own and hold others are compared, and vectors are only moved to these. There, members whose own cell it is
+    are compared with all others. Two vectors may meet in several buckets; a link is counted only where ``_first_meeting`` says, so
+    the counts add up without a table of pairs.
     """
-    groups = candidate_blocks(keyed, ["label", "dim", "t", "cell"], F.xxhash64("id"), ["id", "copies", "own", "vector"], block)
+    keyed = written(hashed(distinct, lattice), "cells")
+    carried = distinct.select("id", "group", "copies", "vector")
+    groups = candidate_blocks(keyed, ["bucket"], F.xxhash64("id"), ["id", "own", "group", "copies", "vector"], block, "own", carried)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             offsets, flat = member_lists(batch)
-            tables, homes, dims = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("t", "cell", "dim"))
-            chunk, ids, copies, own = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("chunk", "id", "copies", "own"))
+            homes = batch.column(batch.schema.get_field_index("bucket")).to_numpy()
+            chunks, ids, owns, groups_, copies = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("chunk", "id", "own", "group", "copies"))
             vectors = flat.field("vector")
+            values, ends = vectors.flatten().to_numpy(zero_copy_only=False), np.cumsum(vectors.value_lengths().to_numpy(zero_copy_only=False))
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             for g in np.flatnonzero(np.diff(offsets) > 1).tolist():
                 a, b = int(offsets[g]), int(offsets[g + 1])
-                if not own[a:b].any():
-                    continue
-                unit = unit_rows(np.frombuffer(b"".join(vectors.slice(a, b - a).to_pylist()), number).reshape(-1, dims[g]))
-                close = unit @ unit.T >= least
-                np.fill_diagonal(close, False)
-                close &= own[a:b, None] | own[None, a:b]
-                if chunk[a:b].min() != chunk[a:b].max():
-                    close &= chunk[a:b, None] != chunk[None, a:b]
-                some = np.flatnonzero(close.any(1))
-                if not len(some):
-                    continue
-                close, names, times = close[np.ix_(some, some)], ids[a:b][some], copies[a:b][some]
-                left, right = np.nonzero(np.triu(close))
-                where, cell = _first_meeting(cells(unit[some], lattice), left, right)
-                here = (where == tables[g]) & (cell == homes[g])
-                n = (np.bincount(left[here], times[right[here]], len(some)) + np.bincount(right[here], times[left[here]], len(some))).astype(np.int64)
-                counted = np.flatnonzero(n)
-                out.append((names[counted], np.full(len(counted), -1), n[counted]))
-                tree = np.array(list(spanning_forest(close)))
-                out.append((names[tree[:, 0]], names[tree[:, 1]], np.zeros(len(tree), np.int64)))
+                for group in np.unique(groups_[a:b]).tolist():
+                    rows = a + np.flatnonzero(groups_[a:b] == group)
+                    chunk, own = chunks[rows], owns[rows]
+                    if len(rows) < 2 or not own.any():
+                        continue
+                    unit = unit_rows(np.stack([values[ends[i - 1] if i else 0 : ends[i]] for i in rows]))
+                    close = alike(unit, least) & (own[:, None] | own[None, :]) & (ids[rows][:, None] != ids[rows][None, :])
+                    if chunk.min() != chunk.max():
+                        close &= chunk[:, None] != chunk[None, :]
+                    some = np.flatnonzero(close.any(1))
+                    if not len(some):
+                        continue
+                    close, names, times = close[np.ix_(some, some)], ids[rows][some], copies[rows][some]
+                    left, right = np.nonzero(np.triu(close))
+                    here = _first_meeting(buckets(unit[some], groups_[rows][some], lattice), left, right) == homes[g]
+                    n = (np.bincount(left[here], times[right[here]], len(some)) + np.bincount(right[here], times[left[here]], len(some))).astype(np.int64)
+                    counted = np.flatnonzero(n)
+                    out.append((names[counted], np.full(len(counted), -1), n[counted]))
+                    tree = np.array(list(spanning_forest(close)))
+                    out.append((names[tree[:, 0]], names[tree[:, 1]], np.zeros(len(tree), np.int64)))
             if out:
                 first, second, n = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(second, mask=n > 0), pa.array(n)], names=["a", "b", "n"])
 
-    return map_arrow(groups.select("t", "cell", "dim", "members"), run, "a bigint, b bigint, n bigint")
+    return map_arrow(groups.select("bucket", "members"), run, "a bigint, b bigint, n bigint")
 
 
 def near_vectors(vectors: DataFrame, least: float = 0.93, lattice: Lattice = Lattice(), block: int = 512, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -206,21 +221,25 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, lattice: Lattice = Lat
     the lattice brings them together; recall is measured in the tests. ``n_links`` counts other rows linked directly, ``component_id``
     is the smallest id reachable, ``kept`` is true for that row. Equal vectors are one row in all that is compared and always link.
     Vectors that are null, empty, zero, or hold a null or a number that is not finite, and rows with a null label or id, link with nothing. Ids
-    are taken to be unique; repeated rows are copies of each other. No rows give no rows; other columns are ignored.
+    are taken to be unique; repeated rows are copies of each other. No rows give no rows; other columns are ignored; texts
+    are not read, and a vector of any length is compared whole. Results do not depend on ``block``.
     """
     kept = F.col(vector_col) if dict(vectors.dtypes)[vector_col] == "array<float>" else F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), kept.alias("vector"), F.col(label_col).alias("label"))
     fit = F.coalesce(F.col("label").isNotNull() & F.col("id").isNotNull() & usable(F.col("vector")), F.lit(False))
-    distinct = written(rows.where(fit).groupBy("label", "vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "vectors")
-    number = "<f4" if dict(rows.dtypes)["vector"] == "array<float>" else "<f8"
-    found = written(links(hashed(distinct, lattice), lattice, least, block, number), "links")
+    hash_a, hash_b = F.xxhash64("vector").alias("ka"), F.xxhash64(F.lit(1), "vector").alias("kb")
+    group = F.xxhash64("label", F.size("vector")).alias("group")
+    once = rows.where(fit).groupBy("label", "vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    distinct = written(once.select("id", "copies", "label", "vector", group, hash_a, hash_b), "vectors")
+    found = written(links(distinct, lattice, least, block), "links")
     counts = found.groupBy("a").agg(F.sum("n").alias("links")).where("links > 0")
     reach = connected_components(found.where("b IS NOT NULL"))
     named = (
         distinct.join(counts, F.col("id") == F.col("a"), "left")
         .join(reach, F.col("id") == F.col("node"), "left")
-        .select("label", "vector", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+        .select("label", "ka", "kb", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     )
-    linked = rows.where(fit).join(named, ["label", "vector"]).select("id", "n_links", "component_id")
+    # back to all rows by 128 bits of their vectors
+    linked = rows.where(fit).select("id", "label", hash_a, hash_b).join(named, ["label", "ka", "kb"]).select("id", "n_links", "component_id")
     alone = rows.where(~fit).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.unionByName(alone).select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -85,3 +85,24 @@ def test_dense_group_counts_every_link_once(spark):
     rows = [(i, [float(x) for x in centre + rng.normal(size=64) * 0.1], 1, 0, "") for i in range(120)]
     got = lattice.near_vectors(spark.createDataFrame(rows, SCHEMA), block=32).agg(F.min("n_links"), F.max("n_links"), F.max("component_id")).first()
     assert tuple(got) == (119, 119, 0)
+
+
+def test_numbers_of_a_vector_do_not_depend_on_its_batch():
+    rng = np.random.default_rng(6)
+    unit = lattice.unit_rows(rng.normal(size=(300, 64)))
+    group = np.arange(300)
+    whole = lattice.buckets(unit, group, lattice.Lattice())
+    assert all((lattice.buckets(unit[a:b], group[a:b], lattice.Lattice()) == whole[a:b]).all() for a, b in ((0, 1), (3, 10), (17, 280)))
+    assert len(np.unique(whole)) == whole.size
+    # a pair at the very threshold is judged alike in any company
+    a = unit[0]
+    b = lattice.unit_rows((0.93 * a + np.sqrt(1 - 0.93**2) * lattice.unit_rows((unit[1] - (unit[1] @ a) * a)[None])[0])[None])[0]
+    judged = {bool(lattice.alike(np.stack([a, *unit[2:k], b]), 0.93)[0, -1]) for k in (2, 5, 40, 299)}
+    assert len(judged) == 1
+
+
+@pytest.mark.parametrize("block", [5, 64])
+def test_results_do_not_depend_on_blocks(spark, block):
+    df = spark.createDataFrame(data(seed=9, clusters=12), SCHEMA)
+    rows = lambda **o: sorted(map(tuple, lattice.near_vectors(df, **o).collect()))
+    assert rows(block=block) == rows()

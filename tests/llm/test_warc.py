@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 import random
+import zlib
 
 import pytest
 
@@ -35,7 +36,7 @@ def test_round_trip(spark):
 
 def test_assembled_captures(spark):
     path = new_path(spark, "warc")
-    warc.write(spark.createDataFrame(pages(), SCHEMA), path, records_per_file=12)
+    warc.write(spark.createDataFrame(pages(), SCHEMA), path, archive_bytes=3000)
     records = warc.read(spark, path)
     assert records.count() == 240
     captures = warc.transactions(records).collect()
@@ -68,3 +69,35 @@ def test_odd_tables(spark):
     rows = [(None, None, body, "", 1, 1), (5, "u", body, "", 1, 1), (5, "u", body, "", 1, 1), (9, "u", body, "", 1, 1), (None, "u", None, "", 1, 1), (None, "u", "q" * 200, "", 1, 1)]
     got = sorted((str(r["page_id"]), r["record_type"], str(r["refers_to"])) for r in warc.round_trip(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == [("5", "response", "None"), ("5", "response", "None"), ("9", "revisit", "5"), ("None", "response", "None"), ("None", "response", "None"), ("None", "revisit", "5")]
+
+
+def test_revisits_resolve_and_records_are_members(spark):
+    path = new_path(spark, "warc")
+    rows = pages(seed=4, n=120) + [(2000 + i, "u", "w" * 150, "", 1, 1) for i in range(30)]
+    warc.write(spark.createDataFrame(rows, SCHEMA).repartition(3), path, archive_bytes=4000)
+    captured = warc.resolved(warc.transactions(warc.read(spark, path)))
+    by_capture = {c["capture"]: c for c in captured.collect()}
+    revisits = [c for c in by_capture.values() if c["response"]["kind"] == "revisit"]
+    assert len(revisits) > 30
+    for c in revisits:
+        response = by_capture[c["refers_capture"]]["response"]
+        assert response["kind"] == "response" and response["record_id"] == c["response"]["refers_to"] and response["payload_digest"] == c["response"]["payload_digest"]
+    files = [bytes(r["content"]) for r in spark.read.format("binaryFile").load(path).collect() if len(r["content"])]
+    assert len(files) > 3
+    for data in files:
+        members, sizes, left = 0, [], data
+        while left:
+            one = zlib.decompressobj(31)
+            body = one.decompress(left)
+            sizes.append(len(left) - len(one.unused_data))
+            left = one.unused_data
+            assert not body or body.startswith(b"WARC/1.1\r\n") and len(list(warc.parse(body))) == 1
+            members += bool(body)
+        assert members and len(data) - sizes[-1] < 4000 + 2 * max(sizes)
+
+
+def test_very_long_records_are_members_of_their_own(spark):
+    body = "".join(chr(33 + i * i % 90) for i in range(1000)) * 17_500  # over 16 MB, so that the member's size does not end in a zero byte
+    rows = [(1, "u", body, "", 1, 1), (2, "u", "s" * 100, "", 1, 1), (3, "u", body, "", 1, 1)]
+    got = sorted((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.round_trip(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [(1, len(body), "response", None), (2, 100, "response", None), (3, len(body), "revisit", 1)]

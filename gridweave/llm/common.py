@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +52,17 @@ def candidate_blocks(keyed: DataFrame, keys: list[str], spread: Column, fields:
     return dealt.groupBy(*keys, "lo", "hi").agg(F.collect_list(F.struct("chunk", *fields)).alias("members"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices whose texts (column number ``text``) have about ``most`` bytes, or one longer text, so that work on a slice is bounded."""
+    for batch in batches:
+        ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(text)), 0).cast(pa.int64())).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def member_lists(batch: pa.RecordBatch, column: str = "members") -> tuple[np.ndarray, pa.StructArray]:
     """Offsets and the flat struct array of a list column."""
     lists = batch.column(batch.schema.get_field_index(column))

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridweave.llm.common import slices
 from gridweave.llm.tokens import encode
 from gridweave.sources.scratch import written
 from gridweave.sources.workers import map_arrow
@@ -29,7 +30,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 2048, id_col: str =
     names = [id_col, "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             rows, index = [], []
             for at, text in enumerate(batch.column(1)):
                 ids = np.append(encode(text.as_py() or "", vocabulary), np.uint32(0)).astype("<u4")
@@ -130,34 +131,46 @@ class Plan:
         return self.first[at] + inside // self.each[at], self.offset[at] + inside % self.each[at] * size
 
 
-def plan(histogram: dict[int, int], capacity: int = 2048, rounds: int = 240, rate: float = 0.5, passes: int = 3, small: float = 0.2) -> Plan:
+def plan(histogram: dict[int, int], capacity: int = 2048, rounds: int = 120, rate: float = 0.5, passes: int = 3, levels: tuple[float, ...] = (1.0, 0.9, 0.75, 0.5, 0.25, 0.0)) -> Plan:
     """Cover a histogram of lengths exactly by sequences of ``capacity``.
 
-    The configuration program is solved for lengths over ``small`` of the capacity; its solution is rounded down to whole sequences that
-    no length exceeds, and what is left is solved again, ``passes`` times in all. The last rest goes to new sequences, best fit,
-    and the small lengths fill the room of all (de la Vega and Lueker, 1981). The work depends on the number of distinct
-    lengths, at most ``capacity``, not on the number of pieces.
+    The configuration program is solved for all lengths; its solution is rounded down to whole sequences that no length exceeds,
+    and what is left is solved again, ``passes`` times in all. What remains goes to the room of these sequences and to new ones, best
+    fit. Rounding may leave that a rest that fits badly, so this is tried with less of the program's solution, down the ``levels``, until a
+    plan has no more sequences than the volume asks for; of all tried, the first with the fewest is taken. The work depends on
+    the number of distinct lengths, at most ``capacity``, not on the number of pieces.
     """
     sizes = np.array(sorted(histogram), np.int64)
     counts = np.array([histogram[int(s)] for s in sizes], np.int64)
-    large = sizes > small * capacity
-    left = np.where(large, counts, 0)
-    chosen: list[tuple[dict[int, int], int]] = []
+    bound = -(-int((sizes * counts).sum()) // capacity)
+    left = counts.copy()
+    solved: list[tuple[dict[int, int], int]] = []
     for again in range(passes):
         present = np.flatnonzero(left)
         if len(present) < 2:
             break
-        for pattern, amount in solve(sizes[present], left[present].astype(float), capacity, rounds >> again, rate):
+        for pattern, amount in solve(sizes[present], left[present].astype(float), capacity, max(1, rounds >> again), rate):
             own = {int(present[j]): n for j, n in pattern.items()}
             times = min(int(amount), *(int(left[j]) // n for j, n in own.items()))
             if times:
-                chosen.append((own, times))
+                solved.append((own, times))
                 for j, n in own.items():
                     left[j] -= n * times
-    chosen += best_fit(sizes, left, [], capacity)
-    chosen = best_fit(sizes, np.where(large, 0, counts), sorted(chosen, key=lambda p: sum(int(sizes[j]) * n for j, n in p[0].items())), capacity)
+    chosen: list[tuple[dict[int, int], int]] | None = None
+    for level in levels:
+        kept = [(pattern, int(times * level)) for pattern, times in solved if int(times * level)]
+        rest = counts.copy()
+        for pattern, times in kept:
+            for j, n in pattern.items():
+                rest[j] -= n * times
+        kept.sort(key=lambda p: sum(int(sizes[j]) * n for j, n in p[0].items()))
+        tried = best_fit(sizes, rest, kept, capacity)
+        if chosen is None or sum(n for _, n in tried) < sum(n for _, n in chosen):
+            chosen = tried
+        if sum(n for _, n in chosen) <= bound:
+            break
     rows, used, bins = [], np.zeros(len(sizes), np.int64), 0
-    for pattern, times in chosen:
+    for pattern, times in chosen or []:
         offset = 0
         for j in sorted(pattern, reverse=True):
             rows.append((int(sizes[j]), int(used[j]), bins, pattern[j], offset))
@@ -168,7 +181,7 @@ def plan(histogram: dict[int, int], capacity: int = 2048, rounds: int = 240, rat
     return Plan(bins, *table.T)
 
 
-def packed(docs: DataFrame, vocabulary: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", rounds: int = 240) -> DataFrame:
+def packed(docs: DataFrame, vocabulary: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", rounds: int = 120) -> DataFrame:
     """One row per piece of a document (see ``pieces``) with ``sequence_id`` and ``offset``, its place in a sequence of ``capacity`` ids.
 
     Pieces of a sequence follow each other without gaps from 0. Only the histogram of lengths, at most ``capacity`` rows, goes to the

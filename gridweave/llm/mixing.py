@@ -18,17 +18,13 @@ GROUP = 2_000
 
 @dataclass(frozen=True)
 class Mix:
-    """Parameters: weights repeated over the sources in order, total over the sum of sizes, most passes over a source, words in a block, seed.
-
-    ``most_sources`` bounds the table of sources, whose cumulative targets every task holds.
-    """
+    """Parameters: weights repeated over the sources in order, total over the sum of sizes, most passes over a source, words in a block, seed."""
 
     weights: tuple[float, ...] = (3.0, 1.0, 2.0)
     share: float = 1.5
     passes: float = 2.0
     block: int = 128
     seed: int = 42
-    most_sources: int = 100_000
 
 
 def source_targets(sizes: DataFrame, mix: Mix) -> DataFrame:
@@ -87,33 +83,32 @@ def schedule(targets: DataFrame, slots: int, mix: Mix) -> DataFrame:
     Position ``k`` has the point ``frac((k + 1) / golden ratio)``, in whole numbers modulo a prime; the source is that whose stretch of the
     cumulative slots wanted holds the point. In every run of positions each source then has its share to within a few.
     """
-    spark = targets.sparkSession
+    wanted = targets.where("target > 0")
     so_far = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
-    ends = targets.where("target > 0").withColumn("e", F.sum(_slots(mix)).over(so_far)).select("s", "e").orderBy("s").limit(mix.most_sources + 1).collect()
-    if len(ends) > mix.most_sources:
-        raise ValueError(f"more than {mix.most_sources} sources: raise most_sources or group them")
-    width = 1 << max(len(ends) - 1, 0).bit_length()
-    finish = F.array(*[F.lit(x["e"] / ends[-1]["e"] if x is not ends[-1] else 2.0) for x in ends], *[F.lit(2.0)] * (width - len(ends)))
-    names = F.array(*[F.lit(x["s"]) for x in ends])
+    every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    stretch = wanted.select("s", F.sum(_slots(mix)).over(so_far).alias("e")).withColumn("to", F.col("e") / F.max("e").over(every))
+    stretch = stretch.withColumn("from", F.lag("to", 1, 0.0).over(Window.orderBy("s"))).withColumn("n", F.count(F.lit(1)).over(every))
+    # the unit interval in as many cells as there are sources: points and stretches meet by cell, so any number of sources will do
+    cell = lambda x: F.least(F.floor(x * F.col("n")), F.col("n") - 1)
+    stretches = written(stretch.withColumn("cell", F.explode(F.sequence(cell(F.col("from")), cell(F.col("to"))))).select("s", "from", "to", "cell"), "stretches")
+    n = wanted.count()
     point = F.pmod(F.pmod(F.col("k") + 1, F.lit(PRIME)) * STEP, F.lit(PRIME)) / F.lit(float(PRIME))
-    # binary search for the first end above the point, over ends that are padded to a power of two
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(width.bit_length() - 1))] or [F.lit(0)])
-    found = F.aggregate(steps, F.lit(0), lambda at, half: at + F.when((half > 0) & (F.element_at(finish, F.greatest(at + half, F.lit(1))) <= F.col("p")), half).otherwise(0))
-    located = spark.range(slots).withColumnRenamed("id", "k").withColumn("p", point).withColumn("s", F.element_at(names, found + 1)).withColumn("run", F.floor(F.col("k") / GROUP)).drop("p")
+    points = targets.sparkSession.range(slots).withColumnRenamed("id", "k").withColumn("p", point).withColumn("n", F.lit(n)).withColumn("cell", cell(F.col("p"))).drop("n")
+    located = points.join(stretches, "cell").where((F.col("from") <= F.col("p")) & (F.col("p") < F.col("to"))).select("k", "s", F.floor(F.col("k") / GROUP).alias("run"))
     return running(located, ["s"], "run", [F.col("k")], F.lit(1), "r").select("k", "s", F.col("r").cast("long"))
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per row of ``docs``: id, ``source``, ``size`` (words), ``source_size``, ``target`` (its source's) and ``taken`` (words the mix takes).
 
-    The documents of a source stand in an order shuffled by a seeded hash and are cut into blocks of ``mix.block`` words, which are shuffled
+    The documents of a source stand in an order shuffled by a seeded hash of id and text and are cut into blocks of ``mix.block`` words, which are shuffled
     once more. The schedule gives each source its slots; the slot with rank ``r`` takes the block that comes ``r``-th, starting
     anew after each pass. A document takes what the taken blocks hold of it, once per time taken; no block is taken more than
     ``mix.passes`` times. Equal input gives equal results. Null and empty texts have size 0 and take 0; a null source is one
     source, ordered last; repeated rows are rows of their own; no rows give no rows; other columns are ignored.
     """
     sizes = written(
-        docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")).withColumn("h", F.xxhash64(F.lit(mix.seed), "id")),
+        docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.lit(mix.seed), F.col(id_col), F.col(text_col)).alias("h")),
         "sizes",
     )
     targets = written(source_targets(sizes, mix), "targets")
@@ -128,7 +123,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: s
     placed = running(own, ["s"], "bucket", [high, F.col("h"), F.col("id"), F.col("size")], F.col("size"), "start")
 
     # times that each block is taken: the slots whose rank falls on its position
-    ranked = schedule(targets, total, mix).join(F.broadcast(sources.select("s", "blocks")), "s") if total else None
+    ranked = schedule(targets, total, mix).join(sources.select("s", "blocks"), "s") if total else None
     numbered = counted(sources.select("s", "blocks"), "blocks", "b").withColumn("h", F.xxhash64(F.lit(mix.seed), "s", "b")).withColumn("bucket", F.floor(F.shiftrightunsigned("h", 33) * F.ceil(F.col("blocks") / F.lit(float(GROUP))) / F.lit(float(1 << 31))))
     shuffled = running(numbered, ["s"], "bucket", [F.shiftrightunsigned("h", 33), F.col("h"), F.col("b")], F.lit(1), "pos").select("s", "b", F.col("pos").cast("long"))
     if ranked is None:
@@ -156,7 +151,8 @@ def take_mix(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col
     The nearest number is the same for most long rows of a source, so its words may miss its target by half its size. Where
     ``drawn`` is set, a row is taken once more than the whole part of its ratio if a seeded hash of its id and text lies below the fraction, so
     that a source has its target's words on average. Rows that share an id (or have none) share their ratio. Rows without words
-    are not taken.
+    (null and empty texts too) are not taken; a null source is one source; very long texts are taken whole; equal rows are taken alike;
+    no rows give no rows; the columns of ``docs`` may have any names.
     """
     key, times, copy = (fresh(docs, name) for name in ("id", "times", "copy"))
     ratio = F.try_divide(F.sum("taken"), F.sum("size"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridweave.llm import crf
+from gridweave.llm.common import slices
 from gridweave.sources.workers import map_arrow
 
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -108,7 +109,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     names = [id_col, "n_email", "n_ip", "n_card", "n_phone", "n_secret", "n_added", "base_sha256", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             found = find(batch.column(1).to_pylist(), model)
             counts = [pa.array([sum(s[0] == kind for s in base) for base, _ in found], pa.int64()) for kind in KINDS[:4]]
             secrets = pa.array([sum(s[0] == "secret" for s in more) for _, more in found], pa.int64())
@@ -133,14 +134,18 @@ def redacted(text: str | None, spans: list[Span]) -> str | None:
 
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", model: crf.Model | None = None) -> DataFrame:
-    """``docs`` with all spans replaced and, where there is such a column, the length set anew; null texts stay null."""
+    """``docs`` with all spans replaced and, where there is such a column, the length set anew.
+
+    Null texts stay null and have no length; empty texts stay; rows are judged one by one, so repeated rows get equal texts; null ids
+    stay; very long texts are searched whole; no rows give no rows; other columns are unchanged, whatever these are called.
+    """
     model = model or crf.train()
     schema = docs.schema
     at = docs.columns.index(text_col)
     size = docs.columns.index(length_col) if length_col in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, at):
             texts = batch.column(at).to_pylist()
             texts = [redacted(t, base + more) for t, (base, more) in zip(texts, find(texts, model))]
             columns = list(batch.columns)

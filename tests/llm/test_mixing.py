@@ -68,8 +68,20 @@ def test_schedule_is_even(spark):
         assert r["r"] == seen[r["s"]]
         seen[r["s"]] += 1
         assert all(abs(n - share[s] * (k + 1)) < 4 for s, n in seen.items())
-    with pytest.raises(ValueError, match="sources"):
-        mixing.schedule(table, 10, mixing.Mix(most_sources=2))
+
+
+def test_schedule_of_many_sources(spark):
+    """Sources of any number, nearly all of them beside a large one, hold the points of their stretch."""
+    sizes = [1] * 1500 + [4000] + [2] * 500
+    table = spark.createDataFrame([(i, float(n), n) for i, n in enumerate(sizes)], "s int, target double, source_size long")
+    got = {r["k"]: r["s"] for r in mixing.schedule(table, 4000, mixing.Mix(block=1)).collect()}
+    ends, total = [], sum(sizes)
+    for n in sizes:
+        ends.append((ends[-1] if ends else 0) + n)
+    points = {k: ((k + 1) % mixing.PRIME * mixing.STEP) % mixing.PRIME / mixing.PRIME for k in range(4000)}
+    from bisect import bisect_right
+
+    assert got == {k: bisect_right([e / total for e in ends], p) for k, p in points.items()}
 
 
 def test_groups_larger_than_a_window(spark, monkeypatch):

@@ -80,3 +80,23 @@ def test_packing(stages):
 
 def test_run(spark, stages):
     assert corpus_pipeline.run(spark, SF).count() == stages[5].count()
+
+
+def test_stages_on_odd_tables(spark):
+    """Nulls in any column, no text, a very long text, repeated rows, clashing names; and no rows at all."""
+    good = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) > 2000 AND lang = 'en'").orderBy("doc_id").first()["text"]
+    rows = [(1, good, "en", "a", 5, "x", 1), (1, good, "en", "a", 5, "x", 1), (2, None, None, None, None, None, None), (3, "", "en", "a", 0, "", 0), (None, good + " again", None, None, None, "y", 2), (4, good * 30, "xx", "b", 9, "z", 3)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, gone string, judged int"
+    for table in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        for _, stage in corpus_pipeline.STAGES:
+            out = stage(spark, table, SF).collect()
+            assert bool(out) == bool(table.count())
+    docs = spark.createDataFrame(rows, schema)
+    kept = corpus_pipeline.quality_rules(spark, docs, SF)
+    assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect())[:2] == ["1", "1"]
+    once = [str(r["doc_id"]) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()]
+    assert once.count("1") == 1 and once.count("2") == 1 and "3" not in once and "None" in once
+    assert corpus_pipeline.personal_data(spark, docs, SF).where("text IS NULL").count() == 1
+    mixed = corpus_pipeline.mix_sources(spark, docs, SF)
+    assert mixed.columns == docs.columns and mixed.where("text IS NULL OR text = ''").count() == 0
+    assert corpus_pipeline.pack(spark, docs, SF).where("piece = 0").count() == len(rows)

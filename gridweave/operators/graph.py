@@ -21,7 +21,7 @@ def with_least(edges: DataFrame, total: int, heavy: int) -> DataFrame:
     return edges.join(few, "u").unionByName(rest)
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60, heavy: int = 1000) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60, heavy: int = 100) -> DataFrame:
     """Columns ``node`` and ``component`` (the smallest node reachable) for each node of an edge with two different ends.
 
     Each round hangs neighbours onto the smallest one they know, first the larger ones and then the smaller

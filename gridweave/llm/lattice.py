@@ -184,29 +184,49 @@ def links(distinct: DataFrame, lattice: Lattice, least: float, block: int) -> Da
             chunks, ids, owns, groups_, copies = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("chunk", "id", "own", "group", "copies"))
             vectors = flat.field("vector")
             values, ends = vectors.flatten().to_numpy(zero_copy_only=False), np.cumsum(vectors.value_lengths().to_numpy(zero_copy_only=False))
+            starts = ends - np.diff(ends, prepend=0)
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # rows of linked pairs and the bucket where they were compared
+
+            def count() -> None:
+                """Links that count where they were found; the buckets of each vector are computed once for all its pairs."""
+                left, right, where = (np.concatenate(x) for x in zip(*met))
+                met.clear()
+                ones = np.unique(np.concatenate([left, right]))
+                ones = ones[np.unique(ids[ones], return_index=True)[1]]  # a vector may be a member of several groups
+                keys = np.empty((len(ones), lattice.tables, 1 + lattice.probes), np.int64)
+                sizes = ends[ones] - starts[ones]
+                for dim in np.unique(sizes).tolist():
+                    same = np.flatnonzero(sizes == dim)
+                    keys[same] = buckets(unit_rows(values[starts[ones[same], None] + np.arange(dim)]), groups_[ones[same]], lattice)
+                at_left, at_right = (np.searchsorted(ids[ones], ids[x]) for x in (left, right))
+                here = _first_meeting(keys, at_left, at_right) == where
+                n = (np.bincount(at_left[here], copies[right[here]], len(ones)) + np.bincount(at_right[here], copies[left[here]], len(ones))).astype(np.int64)
+                counted = np.flatnonzero(n)
+                out.append((ids[ones[counted]], np.full(len(counted), -1), n[counted]))
+
             for g in np.flatnonzero(np.diff(offsets) > 1).tolist():
-                a, b = int(offsets[g]), int(offsets[g + 1])
-                for group in np.unique(groups_[a:b]).tolist():
-                    rows = a + np.flatnonzero(groups_[a:b] == group)
+                members = np.arange(int(offsets[g]), int(offsets[g + 1]))
+                kinds = groups_[members]
+                for group in np.unique(kinds).tolist() if (kinds != kinds[0]).any() else [None]:
+                    rows = members if group is None else members[kinds == group]
                     chunk, own = chunks[rows], owns[rows]
                     if len(rows) < 2 or not own.any():
                         continue
-                    unit = unit_rows(np.stack([values[ends[i - 1] if i else 0 : ends[i]] for i in rows]))
+                    unit = unit_rows(values[starts[rows, None] + np.arange(ends[rows[0]] - starts[rows[0]])])
                     close = alike(unit, least) & (own[:, None] | own[None, :]) & (ids[rows][:, None] != ids[rows][None, :])
                     if chunk.min() != chunk.max():
                         close &= chunk[:, None] != chunk[None, :]
-                    some = np.flatnonzero(close.any(1))
-                    if not len(some):
-                        continue
-                    close, names, times = close[np.ix_(some, some)], ids[rows][some], copies[rows][some]
                     left, right = np.nonzero(np.triu(close))
-                    here = _first_meeting(buckets(unit[some], groups_[rows][some], lattice), left, right) == homes[g]
-                    n = (np.bincount(left[here], times[right[here]], len(some)) + np.bincount(right[here], times[left[here]], len(some))).astype(np.int64)
-                    counted = np.flatnonzero(n)
-                    out.append((names[counted], np.full(len(counted), -1), n[counted]))
-                    tree = np.array(list(spanning_forest(close)))
-                    out.append((names[tree[:, 0]], names[tree[:, 1]], np.zeros(len(tree), np.int64)))
+                    if not len(left):
+                        continue
+                    met.append((rows[left], rows[right], np.full(len(left), homes[g])))
+                    tree = rows[np.array(list(spanning_forest(close)))]
+                    out.append((ids[tree[:, 0]], ids[tree[:, 1]], np.zeros(len(tree), np.int64)))
+                    if sum(len(x[0]) for x in met) > 500_000:
+                        count()
+            if met:
+                count()
             if out:
                 first, second, n = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(first), pa.array(second, mask=n > 0), pa.array(n)], names=["a", "b", "n"])

@@ -110,10 +110,23 @@ def write(pages: DataFrame, path: str, archive_bytes: int = 16 << 20, **columns)
     archives(records, archive_bytes).write.option("compression", "none").option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path)
 
 
+def inflated(data: bytes) -> bytes:
+    """All members of compressed data, one after the other. Fed in small pieces, since what follows a member's end is handed back as a copy."""
+    out, at = [], 0
+    while at < len(data):
+        member = zlib.decompressobj(31)
+        while not member.eof and at < len(data):
+            out.append(member.decompress(data[at : at + 16_384]))
+            at = min(at + 16_384, len(data)) - len(member.unused_data)
+        if not member.eof:
+            raise ValueError("compressed data is cut off")
+    return b"".join(out)
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Records of an archive, plain or compressed as a whole or by records: fields with lower-case names, and the block."""
     if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+        data = inflated(data)
     at = 0
     while at < len(data):
         if data[at : at + 2] == b"\r\n":

@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -42,6 +43,7 @@ _START = re.compile(r"([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:\"[^\"]*\"|'[^']*'|(?
 _BARE_START = re.compile(r"([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _END = re.compile(r"/([a-zA-Z][^\s/>]*+)[^>]*+>")
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']++)(?:\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s\"'>]++))?")
+_SIGNS = frozenset("!?")
 _LONG_NUMBER = re.compile(r"&#(?:([xX])([0-9a-fA-F]{8,})|([0-9]{8,}));?")
 #: Odd multipliers of the three orders in which a page's shingles are drawn for comparison.
 _ORDERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -67,6 +69,16 @@ def decode(text: str) -> str:
     return unescape(_LONG_NUMBER.sub(_number, text)) if "&" in text else text
 
 
+@lru_cache(maxsize=1024)
+def _names(tag: str) -> tuple[str, ...]:
+    """Under which names the places of a tag are kept: its own, its kind's, and those of the kinds that it is a scope of."""
+    return (
+        tag,
+        *(["#p"] if tag in _ENDS_P or tag in ("li", "td", "th", "dd", "button") else []),
+        *(["#" + _KINDS[tag]] if tag in _KINDS else ["#item", "#term", "#row", "#cell", "#choice"] if tag in _SCOPES else []),
+    )
+
+
 class _Stack:
     """Open elements, and for each tag and kind the places where it is open, so that no search walks over others."""
 
@@ -74,25 +86,14 @@ class _Stack:
         self.nodes = [Node("#root")]
         self.places: dict[str, list[int]] = defaultdict(list)
 
-    @staticmethod
-    def _names(tag: str) -> list[str]:
-        out = [tag]
-        if tag in _ENDS_P or tag in ("li", "td", "th", "dd", "button"):
-            out.append("#p")
-        if tag in _KINDS:
-            out.append("#" + _KINDS[tag])
-        elif tag in _SCOPES:
-            out += ["#item", "#term", "#row", "#cell", "#choice"]
-        return out
-
     def push(self, node: Node) -> None:
-        for name in self._names(node.tag):
+        for name in _names(node.tag):
             self.places[name].append(len(self.nodes))
         self.nodes.append(node)
 
     def cut(self, depth: int) -> None:
         for node in reversed(self.nodes[depth:]):
-            for name in self._names(node.tag):
+            for name in _names(node.tag):
                 self.places[name].pop()
         del self.nodes[depth:]
 
@@ -133,7 +134,12 @@ def parse(html: str) -> Node:
             say(html[at:])
             return stack.nodes[0]
         begin = html[open_ + 1 : open_ + 2]
-        if begin in ("!", "?") and begin:
+        if begin == "/" and (m := _END.match(html, open_ + 1)):
+            say(html[at:open_])
+            at = m.end()
+            stack.end(m[1].lower())
+            continue
+        if begin in _SIGNS:
             say(html[at:open_])
             if html.startswith("<!--", open_):
                 close, width = html.find("-->", open_ + 4), 3
@@ -146,19 +152,14 @@ def parse(html: str) -> Node:
                 return stack.nodes[0]
             at = close + width
             continue
-        ends = begin == "/"
-        if not html[open_ + 1 + ends : open_ + 2 + ends].isascii() or not html[open_ + 1 + ends : open_ + 2 + ends].isalpha():
+        letter = html[open_ + 2 : open_ + 3] if begin == "/" else begin
+        if not (letter.isascii() and letter.isalpha()):
             say(html[at : open_ + 1])  # no tag: a lone sign
             at = open_ + 1
             continue
         say(html[at:open_])
         if last < open_:
             return stack.nodes[0]
-        if ends:
-            m = _END.match(html, open_ + 1)
-            at = m.end()
-            stack.end(m[1].lower())
-            continue
         m = start_tag.match(html, open_ + 1)
         if not m:
             start_tag = _BARE_START
@@ -288,19 +289,19 @@ def blocks(root: Node) -> tuple[list[Block], list[Subtree]]:
 
 
 def _companions(found: list[Block], subtrees: list[Subtree]) -> np.ndarray:
-    """For each subtree and each of three orders at random, the first three-word shingle of the blocks beside it.
+    """For each subtree and each of three orders at random, the first of the blocks' shingles beside it: 16 bytes from the start of a word.
 
     Pages that share most of their text mostly agree on it, though each may differ somewhere; pages with different articles around a
     common box do not.
     """
-    words = [b.text.encode("utf-8", "surrogatepass").split(b" ") for b in found]
-    own = np.fromiter((xxh3_64_intdigest(w) for ws in words for w in ws), np.uint64)
-    starts = np.cumsum([0] + [len(ws) for ws in words[:-1]])
+    data = np.frombuffer("\n".join(b.text for b in found).encode("utf-8", "surrogatepass") + bytes(16), np.uint8)
+    breaks = np.flatnonzero((data[:-16] == 32) | (data[:-16] == 10))
+    words = np.concatenate([[0], breaks + 1])
+    starts = np.searchsorted(words, np.concatenate([[0], np.flatnonzero(data[:-16] == 10) + 1]))
+    windows = np.lib.stride_tricks.sliding_window_view(data, 16)[words].view("<u8")
     with np.errstate(over="ignore"):
-        shingles = own * _ORDERS[0]
-        shingles[:-1] += own[1:] * _ORDERS[1]
-        shingles[:-2] += own[2:] * _ORDERS[2]
-        shingles ^= shingles >> np.uint64(29)
+        shingles = windows[:, 0] * _ORDERS[0] ^ windows[:, 1] * _ORDERS[1]
+        shingles = (shingles ^ (shingles >> np.uint64(29))) * _ORDERS[2]
         mixed = shingles[:, None] * _ORDERS
         drawn = np.minimum.reduceat(mixed ^ (mixed >> np.uint64(32)), starts)
     none = np.full((1, 3), np.iinfo(np.uint64).max, np.uint64)

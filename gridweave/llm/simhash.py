@@ -138,13 +138,14 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return _named(docs, id_col, text_col, width, seed, distance, blocks).select(F.col(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42, distance: int = 4, blocks: int | None = None) -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42, distance: int = 4, blocks: int | None = None, most_held: int = 2_000_000) -> DataFrame:
     """One row of ``docs`` for each component of ``simhash_components``, with all its columns: one with the smallest id, once.
 
     Of rows with equal ids but different texts each belongs to the component of its own text; if such rows share a component and its smallest
     id, one of them stays (the smallest by ``_text_key``). Rows with equal id and text count as repeated and stay once, whatever
     their other columns say. Null ids are never compared away: their rows all stay. Null and empty texts are near copies of each other.
-    No rows give no rows. What goes is decided on ids and hashes; the texts are joined with that and moved no further.
+    No rows give no rows. What goes is decided on ids and hashes, at 25 bytes a row; up to ``most_held`` such rows are held by every task, and the texts
+    stay where they are; more are joined by key, with the same result.
     """
     ka, kb, judged = (fresh(docs, name) for name in ("ka", "kb", "judged"))
     rows = written(_named(docs, id_col, text_col, width, seed, distance, blocks).where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"), "ka", "kb", "component_id").agg(F.count(F.lit(1)).alias("n")), "rows")
@@ -155,5 +156,9 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     known = written(gone.withColumn("copies", F.lit(False)).unionByName(twice.withColumn("copies", F.lit(True))), "judged").select(F.col("id").alias(judged), F.col("ka").alias(ka), F.col("kb").alias(kb), F.col("copies").alias(fresh(docs, "copies")))
     copies = known.columns[-1]
     text_a, text_b = _text_key(text_col)
-    joined = docs.join(known, (F.col(id_col) == F.col(judged)) & (text_a == F.col(ka)) & (text_b == F.col(kb)), "left")
-    return joined.where(F.col(copies).isNull()).select(*docs.columns).unionByName(joined.where(F.col(copies)).dropDuplicates([judged, ka, kb]).select(*docs.columns))
+    match = (F.col(id_col) == F.col(judged)) & (text_a == F.col(ka)) & (text_b == F.col(kb))
+    if known.count() <= most_held:
+        known = F.broadcast(known)
+    stay = docs.join(known, match, "left_anti")
+    once = docs.join(known.where(F.col(copies)), match).dropDuplicates([judged, ka, kb])
+    return stay.unionByName(once.select(*docs.columns))

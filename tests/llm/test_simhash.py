@@ -113,6 +113,8 @@ def test_rows_that_share_an_id_go_by_their_own_text(spark):
     near = a.replace("a59", "z")
     rows = [(1, a, "x", "y"), (5, a, "x", "y"), (5, b, "x", "y"), (5, b, "x", "z"), (7, b, None, None), (8, None, "", ""), (8, "", "", ""), (9, " ", "", ""), (None, a, "", ""), (None, a, "", "")]
     kept = simhash.drop_near_copies(spark.createDataFrame(rows, SCHEMA)).collect()
+    joined = simhash.drop_near_copies(spark.createDataFrame(rows, SCHEMA), most_held=0).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in joined) == sorted((str(r["doc_id"]), str(r["text"])) for r in kept)
     assert sorted((str(r["doc_id"]), (r["text"] or "")[:1]) for r in kept) == [("1", "a"), ("5", "b"), ("8", ""), ("None", "a"), ("None", "a")]
     assert simhash.fingerprint(near) != simhash.fingerprint(a)
 

@@ -59,9 +59,12 @@ def nearest_km(points: DataFrame, sites: DataFrame, none: float = 999.0, most_si
         return points.crossJoin(F.broadcast(table)).withColumn("km", F.coalesce(km, F.lit(none))).drop("_s")
     left, found = points, None
     for size in (0.01, 0.1, 1.0, 10.0, 400.0):
-        around = lambda c, size=size: F.explode(F.sequence(F.floor(F.col(c) / size) - 1, F.floor(F.col(c) / size) + 1))
-        spread = sites.select(F.col("lon").alias("_o"), F.col("lat").alias("_a")).withColumn("_x", around("_o")).withColumn("_y", around("_a"))
-        met = left.withColumn("_x", F.floor(F.col("lon") / size)).withColumn("_y", F.floor(F.col("lat") / size)).join(spread, ["_x", "_y"])
+        turn = max(1, round(360 / size))  # columns of buckets around the globe, so that those on both sides of 180 degrees are neighbours
+        column = lambda c, size=size: F.floor((F.col(c) + 180.0) / size)
+        columns = F.array_distinct(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: F.pmod(column("_o") + d, F.lit(turn))))  # noqa: B023
+        rows = F.sequence(F.floor(F.col("_a") / size) - 1, F.floor(F.col("_a") / size) + 1)
+        spread = sites.select(F.col("lon").alias("_o"), F.col("lat").alias("_a")).withColumn("_x", F.explode(columns)).withColumn("_y", F.explode(rows))
+        met = left.withColumn("_x", F.pmod(column("lon"), F.lit(turn))).withColumn("_y", F.floor(F.col("lat") / size)).join(spread, ["_x", "_y"])
         best = met.groupBy(*left.columns).agg(F.min(haversine_km(F.col("lon"), F.col("lat"), F.col("_o"), F.col("_a"))).alias("km"))
         safe = F.lit(size * 111.0) * F.greatest(F.cos(F.radians(F.abs("lat") + size)), F.lit(0.0)) if size < 100 else F.lit(float("inf"))
         done = best.where(F.col("km") <= safe)

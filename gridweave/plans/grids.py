@@ -323,12 +323,12 @@ def cluster_stats(spark, sf):
     return found.select("label", "area", R6("cy"), R6("cx"), *[F.round(c, 4).alias(c) for c in ("rugosity", "bpi", "depth")])
 
 
-SITES = "SELECT 32.62::DOUBLE + (c_custkey % 40)::DOUBLE * 0.005::DOUBLE AS lon, (-27.62)::DOUBLE + (c_custkey % 7)::DOUBLE * 0.04::DOUBLE AS lat FROM customer WHERE c_custkey <= 60"
+SITES = "SELECT 32.62::DOUBLE + (c_custkey % 40)::DOUBLE * 0.005::DOUBLE AS lon, (-27.62)::DOUBLE + (c_custkey % 7)::DOUBLE * 0.04::DOUBLE AS lat FROM customer"
 HAV = "12742.0::DOUBLE * asin(sqrt(least(1, pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2))))"
 
 
 def known_sites(spark, sf):
-    c = table(spark, sf, "customer").where("c_custkey <= 60")
+    c = table(spark, sf, "customer")
     return c.select((F.lit(32.62) + (F.col("c_custkey") % 40).cast("double") * 0.005).alias("lon"), (F.lit(-27.62) + (F.col("c_custkey") % 7).cast("double") * 0.04).alias("lat"))
 
 

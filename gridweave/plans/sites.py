@@ -155,10 +155,10 @@ def unique_names(spark, sf):
     return catalog.unique_names(table(spark, sf, "part"), "p_type", "p_partkey").select(F.col("p_partkey").alias("id"), "unique_name")
 
 
-@query("csv_export", """SELECT doc_id, doc_id::VARCHAR || ',' || CASE WHEN regexp_matches(t, '[",\n]') THEN '"' || replace(t, '"', '""') || '"' ELSE t END || ',' || CASE WHEN doc_id % 2 = 0 THEN source ELSE '' END AS line FROM (SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN 'say "' || left(text, 60) || '"' ELSE left(text, 20) END AS t FROM documents)""", bare=True)
+@query("csv_export", """SELECT doc_id, doc_id::VARCHAR || ',' || CASE WHEN regexp_matches(t, '[",\n]') THEN '"' || replace(t, '"', '""') || '"' ELSE t END || ',' || CASE WHEN doc_id % 2 = 0 THEN source ELSE '' END AS line FROM (SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN 'say "' || text || '"' ELSE text END AS t FROM documents)""", bare=True)
 def csv_export(spark, sf):
     d = table(spark, sf, "documents")
-    note = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('say "'), F.left("text", F.lit(60)), F.lit('"'))).otherwise(F.left("text", F.lit(20)))
+    note = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('say "'), "text", F.lit('"'))).otherwise(F.col("text"))
     rows = d.select("doc_id", note.alias("note"), F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("source"))
     return catalog.csv_lines(rows, ["doc_id", "note", "source"]).select("doc_id", "line")
 
@@ -209,12 +209,11 @@ def color_ramp(spark, sf):
     return soundings(spark, sf).select("event_id", F.round(values.ramp(F.col("depth_m"), stops), 6).alias("green"))
 
 
-@query("densify", """AND , ls AS (SELECT route, idx, lag(lon) OVER o AS x0, lag(lat) OVER o AS y0, lon AS x1, lat AS y1 FROM w WHERE idx < 6 WINDOW o AS (PARTITION BY route ORDER BY idx)), ll AS (SELECT *, sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)) AS len FROM ls WHERE x0 IS NOT NULL),
+@query("densify", """AND , ls AS (SELECT route, idx, lag(lon) OVER o AS x0, lag(lat) OVER o AS y0, lon AS x1, lat AS y1 FROM w WINDOW o AS (PARTITION BY route ORDER BY idx)), ll AS (SELECT *, sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)) AS len FROM ls WHERE x0 IS NOT NULL),
     t AS (SELECT route, sum(len) AS total, greatest(2, trunc(sum(len) / 0.01::DOUBLE)::INTEGER + 1) AS n FROM ll GROUP BY route) SELECT route AS id, (n + 1)::BIGINT AS points, round(total, 6) AS length FROM t WHERE total > 0""")
 def densify(spark, sf):
-    """The first six waypoints of every track as a line: how many points it gets, and its length."""
-    first = waypoints(spark, sf).where("idx < 6")
-    lines = first.groupBy(F.col("route").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "lon", "lat"))), lambda p: F.array(p["lon"], p["lat"])).alias("line"))
+    """Every track as a line: how many points it gets, and its length."""
+    lines = waypoints(spark, sf).groupBy(F.col("route").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "lon", "lat"))), lambda p: F.array(p["lon"], p["lat"])).alias("line"))
     dense = vector.densify(lines, 0.01)
     length = lines.select("id", F.expr("aggregate(sequence(1, size(line) - 1), 0D, (s, i) -> s + hypot(line[i][0] - line[i - 1][0], line[i][1] - line[i - 1][1]))").alias("length"))
     counted = dense.groupBy("id").agg(F.count(F.lit(1)).alias("points"))
@@ -251,8 +250,8 @@ def geojson_features(spark, sf):
     return table(spark, sf, "events").select("event_id", catalog.feature(lon, lat, F.struct(F.col("event_type").alias("name"))).alias("feature"))
 
 
-@query("union_collections", "SELECT c_custkey AS id, c_name AS name, NULL AS collection FROM customer WHERE c_custkey % 10 = 0 UNION ALL SELECT s_suppkey, s_name, 'user' FROM supplier", bare=True)
+@query("union_collections", "SELECT c_custkey AS id, c_name AS name, NULL AS collection FROM customer UNION ALL SELECT s_suppkey, s_name, 'user' FROM supplier", bare=True)
 def union_collections(spark, sf):
-    official = table(spark, sf, "customer").where("c_custkey % 10 = 0").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    official = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     user = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.lit("user").alias("collection"))
     return official.unionByName(user, allowMissingColumns=True)

@@ -314,3 +314,17 @@ def test_components_with_hubs(spark):
     edges = spark.createDataFrame(pairs, "a long, b long")
     for heavy in (0, 5, 1000):
         assert {r["node"]: r["component"] for r in connected_components(edges, heavy=heavy).collect()} == want
+
+
+def test_nearest_site_across_the_antimeridian_and_poles(spark):
+    """Rings of buckets give what comparing with every site gives, on both sides of 180 degrees and near the poles."""
+    import random
+
+    from gridweave.operators.prospect import nearest_km
+
+    rng = random.Random(8)
+    sites = [(179.0, 0.0), (-179.99, 0.0), (10.0, 89.9), (-170.0, 89.95), (0.0, -89.0)] + [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(40)]
+    points = [(0, 179.99, 0.0), (1, -180.0, 0.0), (2, 180.0, 0.0), (3, 100.0, 90.0), (4, -100.0, 89.99), (5, 179.0, -89.9)] + [(6 + i, rng.uniform(-180, 180), rng.uniform(-90, 90)) for i in range(60)]
+    p, s = spark.createDataFrame(points, "id int, lon double, lat double"), spark.createDataFrame(sites, "lon double, lat double")
+    whole, rings = ({r["id"]: r["km"] for r in nearest_km(p, s, most_sites=n).collect()} for n in (1000, 0))
+    assert set(whole) == set(rings) and all(abs(whole[i] - rings[i]) < 1e-6 for i in whole) and whole[0] < 3

@@ -132,9 +132,11 @@ def judge(text: str | None, lang: str | None, vocabularies: tuple[str, ...], ban
     """The fields of ``FIELDS`` for one text."""
     words, chars, symbols, lines, repeats = word_figures(text)
     failed = words < 50 or 100 * repeats > 50 * words
-    figures = [fertility(text, path) for path in vocabularies]
+    first = fertility(text, vocabularies[0])
     band = bands.get(lang or "") or bands[script(text or "")]
-    return words, chars, symbols, lines, repeats, failed, not failed and within(figures, band), *figures[0][:3], *figures[1][:3]
+    # a text that is rejected already needs no second opinion
+    second = None if failed or not within([first], band) else fertility(text, vocabularies[1])
+    return words, chars, symbols, lines, repeats, failed, second is not None and within([first, second], band), *first[:3], *(second[:3] if second else (None,) * 3)
 
 
 def quality_figures(docs: DataFrame, vocabularies: tuple[str, str], id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bands: Mapping[str, Band] = BANDS) -> DataFrame:
@@ -145,7 +147,8 @@ def quality_figures(docs: DataFrame, vocabularies: tuple[str, str], id_col: str
     or, without one, of the text's script. Null and empty texts have zero everywhere and fail; a null language has the
     band of its script. Rows are judged one by one: repeated rows get equal results, null ids stay, no rows
     give no rows, and other columns are ignored. ``vocabularies`` are paths that all workers have, of a byte-level rank file and of a
-    piece model with byte fallback; a text has to lie in the band by both.
+    piece model with byte fallback; a text has to lie in the band by both, and the second is only measured (else null) where the first and
+    the counts leave the text in.
     """
     kept = docs.select(F.col(id_col), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang"))
     bands = dict(bands)
@@ -154,7 +157,8 @@ def quality_figures(docs: DataFrame, vocabularies: tuple[str, str], id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [judge(t.as_py(), g.as_py(), vocabularies, bands) for t, g in zip(batch.column(1), batch.column(2))]
-            columns = [pa.array(values) for values in zip(*rows)] if rows else [pa.array([], t) for t in [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 6]
+            kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 6
+            columns = [pa.array(values, kind) for values, kind in zip(zip(*rows) if rows else [()] * len(kinds), kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[id_col, *names])
 
     return map_arrow(kept, run, f"`{id_col}` {dict(kept.dtypes)[id_col]}, {FIELDS}")

@@ -12,11 +12,16 @@ _roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A folder of this application's own in ``spark.checkpoint.dir``; in a temporary folder only where that is unset. It goes when Python ends."""
+    """A folder of this application's own in ``spark.checkpoint.dir``. It goes when Python ends.
+
+    Where that is unset, a temporary folder will do for a local master; a cluster's executors could not reach it, so there this raises.
+    """
     app = spark.sparkContext.applicationId
     if app not in _roots:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             base = tempfile.mkdtemp(prefix="gridweave-")
             spark.sparkContext.setCheckpointDir(base)
         _roots[app] = f"{base.rstrip('/')}/gridweave-{uuid.uuid4().hex}"

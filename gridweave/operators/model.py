@@ -46,11 +46,11 @@ def with_baseline(pixels: DataFrame, line: DataFrame, x: str) -> DataFrame:
     return pixels.crossJoin(F.broadcast(line.select("slope", "intercept"))).withColumn("linear", F.col("slope") * F.col(x) + F.col("intercept")).drop("slope", "intercept")
 
 
-def fit_trees(train: DataFrame, label: str, inputs: Sequence[str] = FEATURES, rounds: int = 60, depth: int = 6, step: float = 0.03, sample: float = 0.8, seed: int = 42) -> PipelineModel:
-    """Gradient-boosted trees; rows with a null input or label are left out."""
+def fit_trees(train: DataFrame, label: str, inputs: Sequence[str] = FEATURES, rounds: int = 600, depth: int = 6, step: float = 0.03, sample: float = 0.8, columns: float = 0.8, seed: int = 42) -> PipelineModel:
+    """Gradient-boosted trees on shares of the rows and, at each split, of the inputs; rows with a null input or label are left out."""
     known = train.na.drop(subset=[*inputs, label])
     assembler = VectorAssembler(inputCols=list(inputs), outputCol="_features", handleInvalid="skip")
-    trees = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="predicted", maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=sample, seed=seed)
+    trees = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="predicted", maxIter=rounds, maxDepth=depth, stepSize=step, subsamplingRate=sample, featureSubsetStrategy=str(columns), seed=seed)
     return Pipeline(stages=[assembler, trees]).fit(known)
 
 

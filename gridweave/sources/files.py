@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -151,6 +152,30 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def produce(spark: SparkSession, path: str, make: Callable[[], DataFrame], force: bool = False, dry_run: bool = False) -> DataFrame | None:
+    """The table at ``path``: as it is if it is there, else, or with ``force``, made and put there. ``dry_run`` shows the plan and writes nothing.
+
+    A table is written beside its place and renamed when it is whole, so a run that fails leaves what was there, and ``make`` may read it.
+    """
+    if exists(spark, path) and not force:
+        return spark.read.parquet(path)
+    rows = make()
+    if dry_run:
+        rows.explain("formatted")
+        return None
+    place = path.rstrip("/")
+    fresh, old = f"{place}.new-{uuid.uuid4().hex[:12]}", f"{place}.old-{uuid.uuid4().hex[:12]}"
+    rows.write.parquet(fresh)
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = to_path(place).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    replaced = exists(spark, place)
+    if replaced and not store.rename(to_path(place), to_path(old)) or not store.rename(to_path(fresh), to_path(place)):
+        raise OSError(f"{fresh} could not be put in place of {place}")
+    if replaced:
+        store.delete(to_path(old), True)
+    return spark.read.parquet(path)
+
+
 def first_existing(spark: SparkSession, paths: list[str]) -> str | None:
     """The first of some candidate paths that is there."""
     return next((p for p in paths if exists(spark, p)), None)

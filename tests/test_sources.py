@@ -162,3 +162,15 @@ def test_netcdf(spark, tmp_path, version, record):
     assert got == {(0, 0): (32.0, -27.0, 0.5), (0, 2): (33.0, -27.0, 1.5), (1, 0): (32.0, -27.5, 2.0), (1, 1): (32.5, -27.5, 2.5), (1, 2): (33.0, -27.5, 3.0)}
     with pytest.raises(ValueError):
         source.variables(b"\x89HDF\r\n\x1a\n")
+
+
+def test_tables_are_made_once_and_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    assert files.produce(spark, path, lambda: spark.range(3), dry_run=True) is None and not files.exists(spark, path)
+    assert files.produce(spark, path, lambda: spark.range(3)).count() == 3
+    assert files.produce(spark, path, lambda: spark.range(9)).count() == 3
+    assert files.produce(spark, path, lambda: spark.read.parquet(path).where("id > 0"), force=True).count() == 2
+    with pytest.raises(Exception, match="broken"):
+        files.produce(spark, path, lambda: spark.range(1).selectExpr("raise_error('broken') AS id"), force=True)
+    assert spark.read.parquet(path).count() == 2
+    assert [p.name for p in tmp_path.iterdir() if ".old-" in p.name] == []

@@ -1,6 +1,6 @@
-"""Registered queries: grids and points, routes and catalogues."""
+"""Registered queries: grids and points, routes and catalogues, files."""
 
-from gridweave.plans import grids, sites
+from gridweave.plans import grids, ingest, sites
 from gridweave.plans.relations import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "grids", "sites"]
+__all__ = ["QUERIES", "SQL", "grids", "ingest", "sites"]

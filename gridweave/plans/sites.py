@@ -236,7 +236,7 @@ def flag_filter(spark, sf):
     return table(spark, sf, "events").where(F.array_contains(flags, "error")).select("event_id")
 
 
-@query("mojibake_repair")
+@query("mojibake_repair", "SELECT doc_id, CASE WHEN text IS NOT NULL THEN true END AS repaired FROM documents", bare=True)
 def mojibake_repair(spark, sf):
     """Texts read in the wrong encoding, on purpose, and put right."""
     d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("t"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridweave.functions.geo import Grid, haversine_km, in_ring
 from gridweave.operators.raster import label_components
+from gridweave.sources.scratch import written
 
 #: Substrates that speak for a lead and against it (fixed values).
 REEF = ("Reef", "Prominent Reef", "Scattered Reef")
@@ -29,7 +30,7 @@ def candidate_cells(cells: DataFrame, rug: float = 0.92, bpi: float = 0.92) -> D
 
 def clusters(cells: DataFrame, width: int, least: int = 12) -> DataFrame:
     """Clusters of candidate cells joined by sides: size, centre, means, and ratio to the thresholds. Small ones are left out."""
-    labelled = label_components(cells, width)
+    labelled = label_components(written(cells, "candidates"), width)
     return labelled.groupBy("label").agg(
         F.count(F.lit(1)).alias("area"),
         F.avg("y").alias("cy"),
@@ -50,27 +51,40 @@ def score(rug: Column, t_rug: Column, bpi: Column, t_bpi: Column) -> Column:
 def nearest_km(points: DataFrame, sites: DataFrame, none: float = 999.0, most_sites: int = 1000) -> DataFrame:
     """Points (``id``, ``lon``, ``lat``) with the distance to the nearest site.
 
-    Up to ``most_sites`` sites are counted and then held by every task as one array. More of them meet the points in rings of growing
-    buckets; a point leaves when a ring is closer than anything farther out could be.
+    What lacks a coordinate is half the globe away from everything, as in the SQL; ``none`` is for no sites.
+    Sites in one place count once. Up to ``most_sites`` places are counted and then held by every task as one array. More of them meet
+    the points in rings of growing buckets (``ringed_km``).
     """
-    if sites.limit(most_sites + 1).count() <= most_sites:
-        table = sites.agg(F.collect_list(F.struct("lon", "lat")).alias("_s"))
-        km = F.array_min(F.transform("_s", lambda s: haversine_km(F.col("lon"), F.col("lat"), s["lon"], s["lat"])))
-        return points.crossJoin(F.broadcast(table)).withColumn("km", F.coalesce(km, F.lit(none))).drop("_s")
-    left, found = points, None
-    for size in (0.01, 0.1, 1.0, 10.0, 400.0):
+    places = sites.select("lon", "lat").distinct()
+    if places.limit(most_sites + 1).count() > most_sites:
+        return ringed_km(points, places)
+    table = places.agg(F.collect_list(F.struct("lon", "lat")).alias("_s"))
+    km = F.array_min(F.transform("_s", lambda s: haversine_km(F.col("lon"), F.col("lat"), s["lon"], s["lat"])))
+    return points.crossJoin(F.broadcast(table)).withColumn("km", F.coalesce(km, F.lit(none))).drop("_s")
+
+
+def ringed_km(points: DataFrame, places: DataFrame) -> DataFrame:
+    """Points with the distance to the nearest of any number of ``places``; a point leaves when a ring is closer than anything farther out could be.
+
+    The places are joined by bucket and never broadcast: each is entered into nine buckets, which Spark's estimates leave out.
+    What is found in a ring, and who is left, are tables in the shared folder.
+    """
+    places, left, found = written(places, "places"), points, None
+    for size in (0.001, 0.01, 0.1, 1.0, 10.0, 400.0):
         turn = max(1, round(360 / size))  # columns of buckets around the globe, so that those on both sides of 180 degrees are neighbours
         column = lambda c, size=size: F.floor((F.col(c) + 180.0) / size)
         columns = F.array_distinct(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: F.pmod(column("_o") + d, F.lit(turn))))  # noqa: B023
         rows = F.sequence(F.floor(F.col("_a") / size) - 1, F.floor(F.col("_a") / size) + 1)
-        spread = sites.select(F.col("lon").alias("_o"), F.col("lat").alias("_a")).withColumn("_x", F.explode(columns)).withColumn("_y", F.explode(rows))
-        met = left.withColumn("_x", F.pmod(column("lon"), F.lit(turn))).withColumn("_y", F.floor(F.col("lat") / size)).join(spread, ["_x", "_y"])
+        spread = places.select(F.col("lon").alias("_o"), F.col("lat").alias("_a")).withColumn("_x", F.explode(columns)).withColumn("_y", F.explode(rows))
+        met = left.withColumn("_x", F.pmod(column("lon"), F.lit(turn))).withColumn("_y", F.floor(F.col("lat") / size)).join(spread.hint("merge"), ["_x", "_y"])
         best = met.groupBy(*left.columns).agg(F.min(haversine_km(F.col("lon"), F.col("lat"), F.col("_o"), F.col("_a"))).alias("km"))
         safe = F.lit(size * 111.0) * F.greatest(F.cos(F.radians(F.abs("lat") + size)), F.lit(0.0)) if size < 100 else F.lit(float("inf"))
-        done = best.where(F.col("km") <= safe)
+        done = written(best.where(F.col("km") <= safe), "nearest")
         found = done if found is None else found.unionByName(done)
-        left = left.join(done.select("id"), "id", "left_anti")
-    return found.unionByName(left.withColumn("km", F.lit(none)))
+        left = written(left.join(done.select("id"), "id", "left_anti"), "left")
+        if left.isEmpty():
+            break
+    return found.unionByName(left.withColumn("km", haversine_km(F.lit(None), F.lit(None), F.lit(0.0), F.lit(0.0))))
 
 
 def in_polygons(points: DataFrame, polygons: DataFrame, cell: float = 0.05, none: str = "unknown") -> DataFrame:
@@ -109,5 +123,5 @@ def leads(cells: DataFrame, grid: Grid, sites: DataFrame, rug: float = 0.92, bpi
     """Clusters of candidate cells that are ``apart_m`` or more from known sites, with place and score to two decimals."""
     found = clusters(candidate_cells(cells, rug, bpi), grid.width, least)
     placed = found.withColumn("id", F.col("label")).withColumn("lon", grid.lon(F.col("cx"))).withColumn("lat", grid.lat(F.col("cy")))
-    far = nearest_km(placed, sites).where(F.col("km") * 1000 >= apart_m)
+    far = nearest_km(written(placed, "leads"), sites).where(F.col("km") * 1000 >= apart_m)
     return far.withColumn("score", F.round(score(F.col("rugosity"), F.col("t_rugosity"), F.col("bpi"), F.col("t_bpi")), 2))

@@ -328,3 +328,26 @@ def test_nearest_site_across_the_antimeridian_and_poles(spark):
     p, s = spark.createDataFrame(points, "id int, lon double, lat double"), spark.createDataFrame(sites, "lon double, lat double")
     whole, rings = ({r["id"]: r["km"] for r in nearest_km(p, s, most_sites=n).collect()} for n in (1000, 0))
     assert set(whole) == set(rings) and all(abs(whole[i] - rings[i]) < 1e-6 for i in whole) and whole[0] < 3
+
+
+def test_sites_in_one_place_count_once(spark, monkeypatch):
+    """Thousands of sites in three places are three places, not a case for rings of buckets."""
+    monkeypatch.setattr(prospect, "ringed_km", None, raising=False)
+    sites = spark.range(5000).select((F.col("id") % 3 * 0.5).alias("lon"), F.lit(0.0).alias("lat"))
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.6, 0.0), (3, None, 0.0)], "id int, lon double, lat double")
+    near = prospect.nearest_km(points, sites)
+    assert {r["id"]: round(r["km"], 3) for r in near.collect()} == {1: 0.0, 2: 11.119, 3: 20015.087}
+    assert "Generate explode" not in near._jdf.queryExecution().toString()
+
+
+def test_rings_of_sites_are_never_broadcast(spark, monkeypatch):
+    """Nine buckets for each site: Spark takes them for as small as the sites' file, and the driver would hold them all."""
+    plans = []
+    real = prospect.written
+    monkeypatch.setattr(prospect, "written", lambda df, name="table": (plans.append((name, df._jdf.queryExecution().executedPlan().toString())), real(df, name))[1])
+    sites = spark.range(3000).select((F.col("id") * 0.001).alias("lon"), F.lit(0.0).alias("lat"))
+    points = spark.createDataFrame([(1, 0.0004, 0.0), (2, 40.0, 0.0), (3, None, 0.0)], "id int, lon double, lat double")
+    got = {r["id"]: r["km"] for r in prospect.nearest_km(points, sites, most_sites=100).collect()}
+    assert got == pytest.approx({1: 0.0004 * 111.1949, 2: (40 - 2.999) * 111.1949, 3: 20015.0868}, rel=1e-5)
+    rings = [plan for name, plan in plans if name == "nearest"]
+    assert rings and all("SortMergeJoin" in plan and "Broadcast" not in plan for plan in rings)

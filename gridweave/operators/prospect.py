@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridweave.functions.geo import Grid, haversine_km, in_ring
+from gridweave.functions.geo import EARTH_KM, Grid, haversine_km, in_ring
 from gridweave.operators.raster import label_components
 from gridweave.sources.scratch import written
 
@@ -52,15 +53,32 @@ def nearest_km(points: DataFrame, sites: DataFrame, none: float = 999.0, most_si
     """Points (``id``, ``lon``, ``lat``) with the distance to the nearest site.
 
     What lacks a coordinate is half the globe away from everything, as in the SQL; ``none`` is for no sites.
-    Sites in one place count once. Up to ``most_sites`` places are counted and then held by every task as one array. More of them meet
-    the points in rings of growing buckets (``ringed_km``).
+    Sites in one place count once. Up to ``most_sites`` places are counted and then listed for each small square that holds points
+    (``listed_km``). More of them meet the points in rings of growing buckets (``ringed_km``).
     """
     places = sites.select("lon", "lat").distinct()
-    if places.limit(most_sites + 1).count() > most_sites:
-        return ringed_km(points, places)
-    table = places.agg(F.collect_list(F.struct("lon", "lat")).alias("_s"))
+    few = places.limit(most_sites + 1).count() <= most_sites
+    return listed_km(points, places, none) if few else ringed_km(points, places)
+
+
+def listed_km(points: DataFrame, places: DataFrame, none: float, cell: float = 0.01, most_held: int = 200_000) -> DataFrame:
+    """Points with the distance to the nearest of a few ``places``, which every task holds.
+
+    Each square of ``cell`` degrees that holds points lists the places that can be nearest to any of them: those no farther from its
+    middle than the nearest one and the square's width from corner to corner. A point looks at its square's list only. Lists are
+    broadcast up to ``most_held`` entries in all, and joined by square beyond.
+    """
+    across = math.radians(cell) * EARTH_KM * math.sqrt(2.0) + 0.001  # a metre more than rounding can add to a distance
+    square = lambda c: F.floor(F.col(c) / cell)
+    middle = lambda c: (F.col(c) + 0.5) * cell
+    squares = points.select(square("lon").alias("_x"), square("lat").alias("_y")).distinct()
+    met = squares.crossJoin(F.broadcast(places)).withColumn("_d", haversine_km(middle("_x"), middle("_y"), F.col("lon"), F.col("lat")))
+    whole = met.groupBy("_x", "_y").agg(F.min("_d").alias("_m"), F.collect_list(F.struct("_d", "lon", "lat")).alias("_s"))
+    lists = written(whole.select("_x", "_y", F.filter("_s", lambda s: s["_d"] <= F.col("_m") + across).alias("_s")), "lists")
+    held = lists.agg(F.sum(F.size("_s"))).first()[0] or 0
     km = F.array_min(F.transform("_s", lambda s: haversine_km(F.col("lon"), F.col("lat"), s["lon"], s["lat"])))
-    return points.crossJoin(F.broadcast(table)).withColumn("km", F.coalesce(km, F.lit(none))).drop("_s")
+    mine = square("lon").eqNullSafe(F.col("_x")) & square("lat").eqNullSafe(F.col("_y"))
+    return points.join(F.broadcast(lists) if held <= most_held else lists, mine, "left").withColumn("km", F.coalesce(km, F.lit(none))).drop("_x", "_y", "_s")
 
 
 def ringed_km(points: DataFrame, places: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators against brute force, and their edge cases."""
 
+import math
 import zlib
 
 import numpy as np
@@ -351,3 +352,21 @@ def test_rings_of_sites_are_never_broadcast(spark, monkeypatch):
     assert got == pytest.approx({1: 0.0004 * 111.1949, 2: (40 - 2.999) * 111.1949, 3: 20015.0868}, rel=1e-5)
     rings = [plan for name, plan in plans if name == "nearest"]
     assert rings and all("SortMergeJoin" in plan and "Broadcast" not in plan for plan in rings)
+
+
+@pytest.mark.parametrize("held", [0, 200_000])
+def test_listed_places_are_those_of_brute_force(spark, held):
+    """A square's list holds the nearest place of each point in it, around the globe, at its edges and where points are odd."""
+    import random
+
+    rng = random.Random(3)
+    places = [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(30)] + [(32.62 + i % 8 * 0.003, -27.62 + i // 8 * 0.004) for i in range(60)] + [(180.0, 0.0), (-180.0, 89.99), (0.0, -90.0)]
+    spots = [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(40)] + [(32.60 + rng.random() * 0.06, -27.63 + rng.random() * 0.06) for _ in range(200)] + [(32.61, -27.61), (-179.999, 0.001), (50.0, 90.0), (190.0, -90.0)]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(spots)] + [(-1, None, 1.0), (-2, 1.0, None)], "id int, lon double, lat double")
+    got = {r["id"]: r["km"] for r in prospect.listed_km(points, spark.createDataFrame(places, "lon double, lat double"), 999.0, most_held=held).collect()}
+
+    def km(p, s):
+        a = math.sin(math.radians(s[1] - p[1]) / 2) ** 2 + math.cos(math.radians(p[1])) * math.cos(math.radians(s[1])) * math.sin(math.radians(s[0] - p[0]) / 2) ** 2
+        return 12742 * math.asin(math.sqrt(min(a, 1)))
+
+    assert got == pytest.approx({i: min(km(p, s) for s in places) for i, p in enumerate(spots)} | {-1: 6371 * math.pi, -2: 6371 * math.pi}, abs=1e-6)
